@@ -47,9 +47,15 @@ def product_rows(reviews: DataFrame, partitions: int | None = None) -> DataFrame
 def product_contributions(rows: DataFrame, lam: float) -> DataFrame:
     """Adds ``e`` (receivers), ``c`` (share per receiver), ``n`` and ``p``
     (negative and positive sums received from rows with higher h)."""
-    w = Window.partitionBy("product_id", "rating").orderBy("hq")
-    above = w.rangeBetween(1, Window.unboundedFollowing)
-    e = (F.rank().over(w) - 1).cast("long")
+    # One sort per iteration: every frame below uses the same partitioning
+    # and the same descending order, so they share a single Window pass.
+    # Frames only grow from the top (UNBOUNDED PRECEDING), which Spark
+    # evaluates incrementally, linear in the group size.
+    w = Window.partitionBy("product_id", "rating").orderBy(F.col("hq").desc())
+    at_or_above = F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    group_rows = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    above = w.rangeBetween(Window.unboundedPreceding, -1)   # strictly higher h
+    e = (group_rows - at_or_above).cast("long")
     with_c = rows.withColumn("e", e).withColumn(
         "c",
         F.when(F.col("e") > 0, dequantize(F.col("hq")) / (F.col("e") * F.lit(float(lam)))).otherwise(F.lit(0.0)),
