@@ -24,19 +24,28 @@ def _memberships(distinct: DataFrame, means: DataFrame) -> DataFrame:
     )
 
 
-def general_link_pairs(distinct: DataFrame, means: DataFrame, hot_group_rows: int | None = None) -> DataFrame:
-    """Distinct (src, dst) with src's mean strictly above dst's.
+def memberships(distinct: DataFrame, means: DataFrame) -> DataFrame:
+    return _memberships(distinct, means)
 
-    Equi-join on (product, rating) with the strict inequality as residual;
-    duplicates across products are removed with one aggregation.
-    """
-    m = _memberships(distinct, means)
+
+def pairs_within(m: DataFrame) -> DataFrame:
+    """Distinct (src, dst) over member pairs of one (product, rating) group
+    with the receiver's mean strictly lower.  Equi-join on the group with the
+    inequality as residual; duplicates across groups removed once."""
     a = m.select("product_id", "rating", F.col("user_id").alias("src"), F.col("H").alias("Hs"))
     b = m.select("product_id", "rating", F.col("user_id").alias("dst"), F.col("H").alias("Hd"))
     pairs = a.join(b, ["product_id", "rating"]).filter(F.col("Hd") < F.col("Hs"))
     return pairs.select("src", "dst").dropDuplicates()
 
 
+def general_link_pairs(distinct: DataFrame, means: DataFrame) -> DataFrame:
+    """All General links: distinct (src, dst) with src's mean strictly above
+    dst's.  This is the link export; its size is the number of links.  The
+    rank computation does not list pairs of heavy groups (general_hot).
+    """
+    return pairs_within(_memberships(distinct, means))
+
+
 def general_out_degree(links: DataFrame) -> DataFrame:
     return links.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
 

@@ -21,6 +21,12 @@ Plan: rows are hash-partitioned by product once.  E, N and P are window
 functions over (product, rating) ordered by the integer h, so every
 iteration runs inside the same partitions without any exchange; the only
 shuffle after loading is the final mean per user.
+
+Hot products (more than ``hot_rows`` reviews) would make one task of that
+plan hold a whole product.  Their rows take a second path: identical h
+values inside a (product, rating) are first aggregated to levels, and E, N,
+P come from ``suffix.strict_above``, which spreads a key over value buckets.
+Rows of hot products are reshuffled every iteration, the others never.
 """
 
 from __future__ import annotations
@@ -30,6 +36,11 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import dequantize, quantize
 from ..session import cut_lineage
+from .joins import join_small
+from .suffix import strict_above
+
+# Products with more reviews than this are ranked on the skew-safe path.
+HOT_PRODUCT_ROWS = 100_000
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -103,12 +114,64 @@ def product_step(rows: DataFrame, lam: float) -> DataFrame:
     )
 
 
+def split_hot_products(reviews: DataFrame, hot_rows: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(reviews of ordinary products, reviews of hot products or None).
+
+    Product sizes come from a map-side combined count; the hot list has at
+    most (reviews / hot_rows) entries and is broadcast only after a count.
+    """
+    if not hot_rows:
+        return reviews, None
+    sizes = reviews.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
+    hot = cut_lineage(sizes.filter(F.col("_n") > hot_rows).select("product_id"))
+    if hot.isEmpty():
+        return reviews, None
+    return join_small(reviews, hot, ["product_id"], "left_anti"), join_small(reviews, hot, ["product_id"], "left_semi")
+
+
+def hot_contributions(rows: DataFrame, lam: float, partitions: int | None = None) -> DataFrame:
+    """``product_contributions`` for rows of hot products, without a
+    single-task window: per (product, rating, h) level, E counts rows on
+    lower levels and N, P sum the shares of higher levels."""
+    keys = ["product_id", "rating"]
+    levels = rows.groupBy(*keys, "hq").agg(F.count(F.lit(1)).alias("k"))
+    counted = strict_above(levels, keys, "hq", ["k"], partitions)
+    e = (F.col("total_k") - F.col("above_k") - F.col("k")).cast("long")
+    shares = counted.select(*keys, "hq", "k", e.alias("e")).withColumn(
+        "c",
+        F.when(F.col("e") > 0, dequantize(F.col("hq")) / (F.col("e") * F.lit(float(lam)))).otherwise(F.lit(0.0)),
+    ).select(
+        *keys, "hq", "e", "c",
+        (F.col("k") * F.least(F.col("c"), F.lit(0.0))).alias("cn"),
+        (F.col("k") * F.greatest(F.col("c"), F.lit(0.0))).alias("cp"),
+    )
+    summed = strict_above(shares, keys, "hq", ["cn", "cp"], partitions).select(
+        *keys, "hq", "e", "c", F.col("above_cn").alias("n"), F.col("above_cp").alias("p")
+    )
+    return rows.join(summed, keys + ["hq"])
+
+
+def hot_step(rows: DataFrame, lam: float, first: bool, partitions: int | None = None) -> DataFrame:
+    c = hot_contributions(rows, lam, partitions)
+    if first:
+        return product_collapse(c)   # groupBy (product, user): spreads a hot product by user
+    return c.select(
+        "product_id", "user_id", "rating",
+        quantize(_update(dequantize(F.col("hq")), F.col("n"), F.col("p"))).alias("hq"),
+    )
+
+
 def user_mean_ranks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("user_id").agg(F.round(F.avg("hq")).cast("long").alias("rank_q"))
 
 
+def _both(cold: DataFrame, hot: DataFrame | None) -> DataFrame:
+    cols = ["product_id", "user_id", "rating", "hq"]
+    return cold.select(*cols) if hot is None else cold.select(*cols).unionByName(hot.select(*cols))
+
+
 def product_iterations(reviews: DataFrame, lam: float = 20, iters: int = 10, partitions: int | None = None,
-                       checkpoint_every: int = 3, on_state=None) -> DataFrame:
+                       checkpoint_every: int = 3, on_state=None, hot_rows: int | None = HOT_PRODUCT_ROWS) -> DataFrame:
     """Runs the iterations and returns the final rows
     (product_id, user_id, rating, hq).  ``on_state(i, rows)`` is called
     with the rows after each iteration (0 = the loaded rows)."""
@@ -116,29 +179,37 @@ def product_iterations(reviews: DataFrame, lam: float = 20, iters: int = 10, par
         raise ValueError("lambda must be positive")
     if iters < 0:
         raise ValueError("iterations must be >= 0")
-    rows = product_rows(reviews, partitions)
+    cold_reviews, hot_reviews = split_hot_products(reviews, hot_rows)
+    rows = product_rows(cold_reviews, partitions)
+    hot = None
+    if hot_reviews is not None:
+        hot = hot_reviews.select("product_id", "user_id", "rating", "hq", "unix_time", "review_id")
     if on_state is not None:
         rows = cut_lineage(rows)
-        on_state(0, rows)
+        hot = cut_lineage(hot) if hot is not None else None
+        on_state(0, _both(rows, hot))
     for i in range(1, iters + 1):
         if i == 1:
             rows = product_collapse(product_contributions(rows, lam))
         else:
             rows = product_step(rows, lam)
-        if on_state is not None or i % max(1, checkpoint_every) == 0:
+        if hot is not None:
+            hot = hot_step(hot, lam, first=(i == 1), partitions=partitions)
+        if on_state is not None or i % max(1, checkpoint_every) == 0 or hot is not None:
             rows = cut_lineage(rows)
+            hot = cut_lineage(hot) if hot is not None else None
         if on_state is not None:
-            on_state(i, rows)
-    return rows
+            on_state(i, _both(rows, hot))
+    return _both(rows, hot)
 
 
 def product_rank(reviews: DataFrame, lam: float = 20, iters: int = 10, partitions: int | None = None,
-                 checkpoint_every: int = 3, trace: bool = False) -> DataFrame:
+                 checkpoint_every: int = 3, trace: bool = False, hot_rows: int | None = HOT_PRODUCT_ROWS) -> DataFrame:
     """Final ranks ``(user_id, rank_q, rank)``: each user's mean h over the
     products they reviewed.  ``trace=True`` gives the mean after every
     iteration ``(iter, user_id, rank_q, rank)``."""
     if not trace:
-        rows = product_iterations(reviews, lam, iters, partitions, checkpoint_every)
+        rows = product_iterations(reviews, lam, iters, partitions, checkpoint_every, hot_rows=hot_rows)
         r = user_mean_ranks(rows)
         return r.select("user_id", "rank_q", dequantize(F.col("rank_q")).alias("rank"))
     snaps: list[DataFrame] = []
@@ -146,7 +217,7 @@ def product_rank(reviews: DataFrame, lam: float = 20, iters: int = 10, partition
     def keep(i: int, rows: DataFrame) -> None:
         snaps.append(user_mean_ranks(rows).select(F.lit(i).alias("iter"), "user_id", "rank_q"))
 
-    product_iterations(reviews, lam, iters, partitions, checkpoint_every, on_state=keep)
+    product_iterations(reviews, lam, iters, partitions, checkpoint_every, on_state=keep, hot_rows=hot_rows)
     out = snaps[0]
     for s in snaps[1:]:
         out = out.unionByName(s)

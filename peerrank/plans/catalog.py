@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import dequantize, quantize, rounded6
 from ..operators.general import general_contributions, general_graph, general_rank
 from ..operators.helpfulness import distinct_reviews, product_summary, review_helpfulness, user_means
-from ..operators.links import product_link_pairs
+from ..operators.links import general_link_pairs, product_link_pairs
 from ..operators.partitions import partition_report
 from ..operators.product import product_collapse, product_contributions, product_rank, product_rows
 from ..operators.report import graph_links, graph_nodes, leaderboard, rank_bands, rank_trajectory, top_users, user_lookup
@@ -115,8 +115,13 @@ def q_product_summary(spark, sf):
 
 # --- General -------------------------------------------------------------------
 
+def _all_links(rv):
+    d = distinct_reviews(rv)
+    return general_link_pairs(d, user_means(d))
+
+
 def q_general_links(spark, sf):
-    return general_graph(_reviews(spark, sf)).links
+    return _all_links(_reviews(spark, sf))
 
 
 def q_general_out_degree(spark, sf):
@@ -218,8 +223,9 @@ def q_graph_nodes(spark, sf):
 
 
 def q_graph_links(spark, sf):
-    g, ranks = _general_initial(spark, sf)
-    return graph_links(g.links, ranks.select("user_id", rounded6(F.col("rank_q")).alias("rank")))
+    _, ranks = _general_initial(spark, sf)
+    links = _all_links(_reviews(spark, sf))
+    return graph_links(links, ranks.select("user_id", rounded6(F.col("rank_q")).alias("rank")))
 
 
 # --- sinks, logs, streams ---------------------------------------------------------
