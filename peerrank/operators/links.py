@@ -28,14 +28,20 @@ def memberships(distinct: DataFrame, means: DataFrame) -> DataFrame:
     return _memberships(distinct, means)
 
 
-def pairs_within(m: DataFrame) -> DataFrame:
+def pairs_within(m: DataFrame, partitions: int | None = None) -> DataFrame:
     """Distinct (src, dst) over member pairs of one (product, rating) group
     with the receiver's mean strictly lower.  Equi-join on the group with the
-    inequality as residual; duplicates across groups removed once."""
+    inequality as residual; duplicates across groups removed once.
+
+    With ``partitions`` the pairs are hash-partitioned by ``src`` before the
+    duplicate removal, which that layout already satisfies: the result comes
+    out laid out by source in one shuffle."""
     a = m.select("product_id", "rating", F.col("user_id").alias("src"), F.col("H").alias("Hs"))
     b = m.select("product_id", "rating", F.col("user_id").alias("dst"), F.col("H").alias("Hd"))
-    pairs = a.join(b, ["product_id", "rating"]).filter(F.col("Hd") < F.col("Hs"))
-    return pairs.select("src", "dst").dropDuplicates()
+    pairs = a.join(b, ["product_id", "rating"]).filter(F.col("Hd") < F.col("Hs")).select("src", "dst")
+    if partitions:
+        pairs = pairs.repartition(partitions, "src")
+    return pairs.dropDuplicates()
 
 
 def general_link_pairs(distinct: DataFrame, means: DataFrame) -> DataFrame:

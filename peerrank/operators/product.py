@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dequantize, quantize
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_lineage_keyed
 from .joins import join_small
 from .suffix import strict_above
 
@@ -71,10 +71,10 @@ def product_contributions(rows: DataFrame, lam: float) -> DataFrame:
         "c",
         F.when(F.col("e") > 0, dequantize(F.col("hq")) / (F.col("e") * F.lit(float(lam)))).otherwise(F.lit(0.0)),
     )
-    return with_c.withColumn(
-        "n", F.coalesce(F.sum(F.least(F.col("c"), F.lit(0.0))).over(above), F.lit(0.0))
-    ).withColumn(
-        "p", F.coalesce(F.sum(F.greatest(F.col("c"), F.lit(0.0))).over(above), F.lit(0.0))
+    return with_c.select(
+        "*",
+        F.coalesce(F.sum(F.least(F.col("c"), F.lit(0.0))).over(above), F.lit(0.0)).alias("n"),
+        F.coalesce(F.sum(F.greatest(F.col("c"), F.lit(0.0))).over(above), F.lit(0.0)).alias("p"),
     )
 
 
@@ -123,9 +123,10 @@ def split_hot_products(reviews: DataFrame, hot_rows: int | None) -> tuple[DataFr
     if not hot_rows:
         return reviews, None
     sizes = reviews.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
-    hot = cut_lineage(sizes.filter(F.col("_n") > hot_rows).select("product_id"))
-    if hot.isEmpty():
+    hot = sizes.filter(F.col("_n") > hot_rows).select("product_id")
+    if hot.isEmpty():            # one aggregate over the scan in the common case
         return reviews, None
+    hot = cut_lineage(hot)
     return join_small(reviews, hot, ["product_id"], "left_anti"), join_small(reviews, hot, ["product_id"], "left_semi")
 
 
@@ -171,22 +172,33 @@ def _both(cold: DataFrame, hot: DataFrame | None) -> DataFrame:
 
 
 def product_iterations(reviews: DataFrame, lam: float = 20, iters: int = 10, partitions: int | None = None,
-                       checkpoint_every: int = 3, on_state=None, hot_rows: int | None = HOT_PRODUCT_ROWS) -> DataFrame:
+                       checkpoint_every: int = 5, on_state=None, hot_rows: int | None = HOT_PRODUCT_ROWS) -> DataFrame:
     """Runs the iterations and returns the final rows
-    (product_id, user_id, rating, hq).  ``on_state(i, rows)`` is called
-    with the rows after each iteration (0 = the loaded rows)."""
+    (product_id, user_id, rating, hq).
+
+    Without ``on_state`` the iterations stay lazy between lineage cuts, so
+    the windows of several iterations run fused in one stage.  With
+    ``on_state(i, rows)`` (called for i = 0..iters; it must evaluate what it
+    needs before returning) each iteration's rows are persisted, which keeps
+    their hash layout, and the previous iteration's are released.
+    Every ``checkpoint_every`` iterations the rows are written to the shared
+    checkpoint folder (bucketed by product), which bounds the lineage an
+    executor loss can replay.
+    """
     if lam <= 0:
         raise ValueError("lambda must be positive")
     if iters < 0:
         raise ValueError("iterations must be >= 0")
+    n = _partitions(reviews, partitions)
     cold_reviews, hot_reviews = split_hot_products(reviews, hot_rows)
-    rows = product_rows(cold_reviews, partitions)
+    rows = product_rows(cold_reviews, n)
     hot = None
     if hot_reviews is not None:
-        hot = hot_reviews.select("product_id", "user_id", "rating", "hq", "unix_time", "review_id")
+        hot = cut_lineage(hot_reviews.select("product_id", "user_id", "rating", "hq", "unix_time", "review_id"))
+    held: list[DataFrame] = []
     if on_state is not None:
-        rows = cut_lineage(rows)
-        hot = cut_lineage(hot) if hot is not None else None
+        rows = rows.persist()
+        held.append(rows)
         on_state(0, _both(rows, hot))
     for i in range(1, iters + 1):
         if i == 1:
@@ -194,17 +206,22 @@ def product_iterations(reviews: DataFrame, lam: float = 20, iters: int = 10, par
         else:
             rows = product_step(rows, lam)
         if hot is not None:
-            hot = hot_step(hot, lam, first=(i == 1), partitions=partitions)
-        if on_state is not None or i % max(1, checkpoint_every) == 0 or hot is not None:
-            rows = cut_lineage(rows)
-            hot = cut_lineage(hot) if hot is not None else None
+            # the hot path has several stages per iteration: cut every time
+            hot = cut_lineage(hot_step(hot, lam, first=(i == 1), partitions=partitions))
+        if i % max(1, checkpoint_every) == 0:
+            rows = cut_lineage_keyed(rows, ["product_id"], n)
         if on_state is not None:
+            rows = rows.persist()
             on_state(i, _both(rows, hot))
-    return _both(rows, hot)
+            for old in held:
+                old.unpersist()
+            held = [rows]
+    out = _both(rows, hot)
+    return out
 
 
 def product_rank(reviews: DataFrame, lam: float = 20, iters: int = 10, partitions: int | None = None,
-                 checkpoint_every: int = 3, trace: bool = False, hot_rows: int | None = HOT_PRODUCT_ROWS) -> DataFrame:
+                 checkpoint_every: int = 5, trace: bool = False, hot_rows: int | None = HOT_PRODUCT_ROWS) -> DataFrame:
     """Final ranks ``(user_id, rank_q, rank)``: each user's mean h over the
     products they reviewed.  ``trace=True`` gives the mean after every
     iteration ``(iter, user_id, rank_q, rank)``."""
@@ -215,7 +232,8 @@ def product_rank(reviews: DataFrame, lam: float = 20, iters: int = 10, partition
     snaps: list[DataFrame] = []
 
     def keep(i: int, rows: DataFrame) -> None:
-        snaps.append(user_mean_ranks(rows).select(F.lit(i).alias("iter"), "user_id", "rank_q"))
+        # evaluated now (this also fills the cache of the persisted rows)
+        snaps.append(cut_lineage(user_mean_ranks(rows).select(F.lit(i).alias("iter"), "user_id", "rank_q")))
 
     product_iterations(reviews, lam, iters, partitions, checkpoint_every, on_state=keep, hot_rows=hot_rows)
     out = snaps[0]

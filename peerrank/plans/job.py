@@ -36,7 +36,7 @@ class JobResult:
 
 
 def rank_reviews(reviews: DataFrame, mode: str, lam: float = 20, iters: int = 10, partitions: int | None = None,
-                 trace: bool = False, checkpoint_every: int = 3) -> DataFrame:
+                 trace: bool = False, checkpoint_every: int = 5) -> DataFrame:
     if mode == "General":
         return general_rank(reviews, lam, iters, partitions, checkpoint_every=checkpoint_every, trace=trace)
     if mode == "Product":

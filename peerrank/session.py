@@ -7,6 +7,7 @@ The library never creates a session on its own; callers pass one in.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +72,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+SCRATCH_DB = "peerrank_scratch"
+
+
+def cut_lineage_keyed(df: DataFrame, keys: list[str], partitions: int, prepartitioned: bool = False) -> DataFrame:
+    """Lineage cut that keeps a hash layout on ``keys``.
+
+    ``checkpoint()`` forgets how its rows were partitioned, so a later join
+    or window on the key would shuffle again.  A table bucketed on ``keys``
+    (written under the shared checkpoint folder) is read back hash-partitioned
+    on them, so co-partitioned joins and windows on the key need no exchange.
+    Bucket ids use the same hash as shuffles: ``partitions`` must equal the
+    shuffle partitions of the joins that consume the table.
+    ``prepartitioned``: ``df`` is already hash-partitioned on ``keys`` into
+    ``partitions`` (skips one shuffle).
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{base}/tables'")
+    name = f"{SCRATCH_DB}.t_{uuid.uuid4().hex}"
+    laid_out = df if prepartitioned else df.repartition(partitions, *keys)
+    (
+        laid_out
+        .write.bucketBy(partitions, *keys)
+        .option("path", f"{base}/tables/{name.split('.')[1]}")
+        .format("parquet")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
