@@ -192,6 +192,11 @@ def q_leaderboard(spark, sf):
     return b.select("iter", "position", "user_id", _r6("rank_q", "rank"), "label")
 
 
+def q_general_leaderboard(spark, sf):
+    b = leaderboard(_general_trace(spark, sf))
+    return b.select("iter", "position", "user_id", _r6("rank_q", "rank"), "label")
+
+
 def q_top_users(spark, sf):
     return top_users(_product_final(spark, sf), TOP_K).select("position", "user_id", _r6("rank_q", "rank"))
 
@@ -302,6 +307,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_rank": q_product_rank,
     "product_trace": q_product_trace,
     "leaderboard": q_leaderboard,
+    "general_leaderboard": q_general_leaderboard,
     "top_users": q_top_users,
     "rank_trajectory": q_rank_trajectory,
     "rank_bands": q_rank_bands,
@@ -361,6 +367,10 @@ def _sql() -> dict[str, str]:
         "product_trace": W(P, f"SELECT iter, user_id, {O.r6('rank_q')} AS rank FROM ({ptrace})"),
         "leaderboard": W(P, f"SELECT iter, position, user_id, {O.r6('rank_q')} AS rank, "
                             f"{O.label('position', 'user_id', O.h9('rank_q'))} AS label FROM ({board})"),
+        "general_leaderboard": W(G, f"SELECT iter, position, user_id, {O.r6('rank_q')} AS rank, "
+                                    f"{O.label('position', 'user_id', O.h9('rank_q'))} AS label FROM ("
+                                    f"SELECT iter, row_number() OVER (PARTITION BY iter ORDER BY rank_q DESC, user_id) "
+                                    f"AS position, user_id, rank_q FROM ({O.general_trace_union(ITERS)}))"),
         "top_users": W(P, f"SELECT position, user_id, {O.r6('rank_q')} AS rank FROM (SELECT row_number() OVER "
                           f"(ORDER BY rank_q DESC, user_id) AS position, user_id, rank_q FROM ({pfinal})) "
                           f"WHERE position <= {TOP_K}"),

@@ -2,8 +2,8 @@
 
 * result lines ``(user,rank)``: text, written by all tasks in parallel;
   ``single_file=True`` funnels into one task like the original output.
-* node / link JSON: one JSON record per line (scales), or for small graphs
-  one JSON array per iteration.
+* node / link JSON: one JSON record per line; the array form of the original
+  log is produced in bounded chunks by ``sources.runlog``.
 * trace: parquet partitioned by iteration; a streaming reader can tail it.
 """
 
@@ -63,21 +63,3 @@ def link_records(links: DataFrame) -> DataFrame:
     return links.select(
         strip_quotes(F.col("src")).alias("source"), strip_quotes(F.col("dst")).alias("target")
     ).dropDuplicates()
-
-
-def nodes_json_arrays(trace: DataFrame) -> DataFrame:
-    """One JSON array of {id, rank} per iteration, sorted by id.
-
-    Builds the whole array in one row per iteration, so it is meant for
-    graphs that a browser can draw; at scale use ``node_records``.
-    """
-    return trace.groupBy("iter").agg(
-        F.to_json(
-            F.array_sort(F.collect_list(F.struct(strip_quotes(F.col("user_id")).alias("id"), F.col("rank"))))
-        ).alias("json")
-    )
-
-
-def links_json_array(links: DataFrame) -> DataFrame:
-    recs = link_records(links)
-    return recs.agg(F.to_json(F.array_sort(F.collect_list(F.struct("source", "target")))).alias("json"))

@@ -72,3 +72,11 @@ def test_positions_match_row_number(spark):
     got = positions(df, [F.col("v").desc(), F.col("u").asc()], group="g", partitions=7)
     ref = df.withColumn("p2", F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc(), "u")))
     assert got.join(ref, ["g", "u"]).filter("position != p2").count() == 0
+
+
+def test_hot_sources_spread(small):
+    plain = general_graph(small, heavy_users=None, hot_source_links=None)
+    spread = general_graph(small, heavy_users=None, hot_source_links=40)
+    assert spread.hot_links is not None and spread.hot_links.count() > 0
+    assert qmap(plain.nodes, "deg") == qmap(spread.nodes, "deg")
+    assert qmap(general_rank(small, 20, 3, graph=plain)) == qmap(general_rank(small, 20, 3, graph=spread))
