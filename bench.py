@@ -33,7 +33,8 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="peerrank-bench")
+    parts = int(os.environ.get("BENCH_PARTITIONS", str(cpus)))
+    spark = local_session(cpus, shuffle_partitions=parts, app="peerrank-bench")
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
 
     def reviews():
