@@ -15,17 +15,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _memberships(distinct: DataFrame, means: DataFrame) -> DataFrame:
-    """(product_id, rating, user_id, H) once per user in a (product, rating)."""
-    return (
-        distinct.select("product_id", "rating", "user_id")
-        .dropDuplicates()
-        .join(means.select("user_id", F.col("hq").alias("H")), "user_id")
-    )
+def _memberships(distinct: DataFrame, means: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(product_id, rating, user_id, H) once per user in a (product, rating).
+
+    With ``partitions`` the rows are laid out by (product, rating) first: the
+    duplicate removal and the pair self-join on the group then need no
+    further exchange (when the per-user means are small enough to be
+    broadcast; otherwise the join with them reshuffles)."""
+    m = distinct.select("product_id", "rating", "user_id")
+    if partitions:
+        m = m.repartition(partitions, "product_id", "rating")
+    return m.dropDuplicates().join(means.select("user_id", F.col("hq").alias("H")), "user_id")
 
 
-def memberships(distinct: DataFrame, means: DataFrame) -> DataFrame:
-    return _memberships(distinct, means)
+def memberships(distinct: DataFrame, means: DataFrame, partitions: int | None = None) -> DataFrame:
+    return _memberships(distinct, means, partitions)
 
 
 def pairs_within(m: DataFrame, partitions: int | None = None) -> DataFrame:
