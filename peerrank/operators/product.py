@@ -219,8 +219,9 @@ def product_iterations(reviews: DataFrame, lam: float = 20, iters: int = 10, par
             for old in held:
                 old.unpersist()
             held = [rows]
-    out = _both(rows, hot)
-    return out
+    if release is not None:
+        release.extend(held)   # released by the caller once its result is materialised
+    return _both(rows, hot)
 
 
 def product_rank(reviews: DataFrame, lam: float = 20, iters: int = 10, partitions: int | None = None,
