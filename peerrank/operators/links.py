@@ -25,7 +25,8 @@ def _memberships(distinct: DataFrame, means: DataFrame, partitions: int | None =
     m = distinct.select("product_id", "rating", "user_id")
     if partitions:
         m = m.repartition(partitions, "product_id", "rating")
-    return m.dropDuplicates().join(means.select("user_id", F.col("hq").alias("H")), "user_id")
+    extra = [c for c in means.columns if c not in ("user_id", "hq")]
+    return m.dropDuplicates().join(means.select("user_id", F.col("hq").alias("H"), *extra), "user_id")
 
 
 def memberships(distinct: DataFrame, means: DataFrame, partitions: int | None = None) -> DataFrame:

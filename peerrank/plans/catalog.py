@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dequantize, quantize, rounded6
-from ..operators.general import general_contributions, general_graph, general_rank
+from ..operators.general import general_contributions, general_graph, general_rank, named
 from ..operators.helpfulness import distinct_reviews, product_summary, review_helpfulness, user_means
 from ..operators.links import general_link_pairs, product_link_pairs
 from ..operators.partitions import partition_report
@@ -126,13 +126,13 @@ def q_general_links(spark, sf):
 
 def q_general_out_degree(spark, sf):
     g = general_graph(_reviews(spark, sf))
-    return g.nodes.filter(F.col("deg") > 0).select(F.col("user_id").alias("src"), "deg")
+    return g.nodes.filter(F.col("deg") > 0).select(F.col("name").alias("src"), "deg")
 
 
 def q_general_contributions(spark, sf):
     g = general_graph(_reviews(spark, sf))
     state = g.nodes.select("user_id", F.col("hq").alias("rq"), "deg")
-    add = general_contributions(g, state, LAMBDA)
+    add = named(g, general_contributions(g, state, LAMBDA), "dst")
     return add.select("dst", rounded6(quantize(F.col("add"))).alias("add"))
 
 
@@ -217,7 +217,8 @@ def q_user_lookup(spark, sf):
 
 def _general_initial(spark, sf):
     g = general_graph(_reviews(spark, sf))
-    ranks = g.nodes.select("user_id", F.col("hq").alias("rank_q"), dequantize(F.col("hq")).alias("rank"))
+    ranks = g.nodes.select(F.col("name").alias("user_id"), F.col("hq").alias("rank_q"),
+                           dequantize(F.col("hq")).alias("rank"))
     return g, ranks
 
 

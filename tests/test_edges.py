@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import bruteforce as BF
-from peerrank.operators.general import general_graph, general_rank
+from peerrank.operators.general import general_graph, general_rank, named
 from peerrank.operators.product import product_rank
 from peerrank.plans.job import rank_job, rank_reviews
 from peerrank.sources.reviews import load_reviews, load_reviews_quarantine
@@ -50,7 +50,8 @@ def test_bruteforce_both_modes(spark, tmp_out, seed):
     r = load_reviews(spark, write_csv(tmp_out(f"r{seed}.csv"), rows))
     want_g, want_links = BF.general(rows, 20, 4)
     close(as_map(general_rank(r, 20, 4)), want_g)
-    got_links = {(x.src, x.dst) for x in general_graph(r).links.collect()}
+    g = general_graph(r)
+    got_links = {(x.src, x.dst) for x in named(g, named(g, g.links, "src"), "dst").collect()}
     assert got_links == want_links
     close(as_map(product_rank(r, 20, 4)), BF.product(rows, 20, 4))
 
@@ -66,7 +67,7 @@ def test_identical_review_dedup_general_only(spark, tmp_out):
     rows = [(1, "P", "A", 4, 3, 4, 1), (1, "P", "A", 4, 3, 4, 1), (2, "P", "B", 4, 0, 4, 2)]
     r = load_reviews(spark, write_csv(tmp_out("d.csv"), rows))
     g = general_graph(r)
-    assert {x.user_id: x.hq for x in g.nodes.collect()}["A"] == 500_000_000
+    assert {x.name: x.hq for x in g.nodes.collect()}["A"] == 500_000_000
     close(as_map(general_rank(r, 20, 2)), BF.general(rows, 20, 2)[0])
     close(as_map(product_rank(r, 20, 2)), BF.product(rows, 20, 2))
 

@@ -18,7 +18,8 @@ from test_edges import random_reviews, write_csv
 
 
 def qmap(df, col="rank_q"):
-    return {r.user_id: r[col] for r in df.collect()}
+    key = "name" if "name" in df.columns else "user_id"   # graph nodes carry the original id as name
+    return {r[key]: r[col] for r in df.collect()}
 
 
 @pytest.fixture(scope="module")
