@@ -73,3 +73,11 @@ def product_link_pairs(rows: DataFrame) -> DataFrame:
         .select("src", "dst")
         .dropDuplicates()
     )
+
+
+def product_links_after(reviews: DataFrame, lam: float, iters: int, partitions: int | None = None) -> DataFrame:
+    """Product links in the state after ``iters`` iterations (links are
+    re-derived from h every iteration; 0 = the loaded rows)."""
+    from .product import product_iterations   # product imports this module
+
+    return product_link_pairs(product_iterations(reviews, lam, iters, partitions))

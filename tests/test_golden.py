@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from golden import COUNTS, DEMO, QUOTED, THREE
 from peerrank.operators.general import general_graph, general_rank
 from peerrank.operators.helpfulness import distinct_reviews, user_means
-from peerrank.operators.links import product_link_pairs
+from peerrank.operators.links import product_link_pairs, product_links_after
 from peerrank.operators.product import product_rank, product_rows
 from peerrank.sources.reviews import load_reviews
 
@@ -64,3 +64,24 @@ def test_counts(spark, data_path, name):
     assert r.filter(F.col("hq") == 0).count() == n_zero
     assert general_graph(r).links.count() == n_glinks
     assert product_link_pairs(product_rows(r)).count() == n_plinks
+
+
+# demo_reviews.csv: number of Product links in the state after k iterations;
+# the stored links file of the demo holds the 63 of the final state
+PRODUCT_LINKS_AFTER = {0: 81, 3: 81, 4: 76, 6: 75, 7: 64, 8: 63, 10: 63}
+
+
+def test_product_links_by_iteration(spark, data_path):
+    r = load_reviews(spark, data_path("demo_reviews.csv"))
+    got = {k: product_links_after(r, 20, k).count() for k in PRODUCT_LINKS_AFTER}
+    assert got == PRODUCT_LINKS_AFTER
+
+
+def test_product_final_links_equal_stored_set(spark, data_path):
+    import json
+
+    with open(data_path("demo_final_links.json")) as f:
+        stored = {(x["source"], x["target"]) for x in json.load(f)}
+    r = load_reviews(spark, data_path("demo_reviews.csv"))
+    got = {(x.src, x.dst) for x in product_links_after(r, 20, 10).collect()}
+    assert len(stored) == 63 and got == stored
