@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import dequantize, quantize, rounded6
 from ..operators.general import general_contributions, general_graph, general_rank, named
 from ..operators.helpfulness import distinct_reviews, product_summary, review_helpfulness, user_means
-from ..operators.links import general_link_pairs, product_link_pairs
+from ..operators.links import general_link_pairs, product_link_pairs, product_links_after
 from ..operators.partitions import partition_report
 from ..operators.product import product_collapse, product_contributions, product_rank, product_rows
 from ..operators.report import graph_links, graph_nodes, leaderboard, rank_bands, rank_trajectory, top_users, user_lookup
@@ -154,6 +154,10 @@ def q_product_links(spark, sf):
     return product_link_pairs(product_rows(_reviews(spark, sf)))
 
 
+def q_product_links_final(spark, sf):
+    return product_links_after(_reviews(spark, sf), LAMBDA, ITERS)
+
+
 def q_product_contributions(spark, sf):
     c = product_contributions(product_rows(_reviews(spark, sf)), LAMBDA)
     return c.select(
@@ -303,6 +307,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "general_rank": q_general_rank,
     "general_trace": q_general_trace,
     "product_links": q_product_links,
+    "product_links_final": q_product_links_final,
     "product_contributions": q_product_contributions,
     "product_collapse": q_product_collapse,
     "product_rank": q_product_rank,
@@ -361,6 +366,8 @@ def _sql() -> dict[str, str]:
         "general_rank": W(G, f"SELECT user_id, {O.r6('rq')} AS rank FROM g{ITERS}"),
         "general_trace": W(G, f"SELECT iter, user_id, {O.r6('rank_q')} AS rank FROM ({O.general_trace_union(ITERS)})"),
         "product_links": W(RV, plinks),
+        "product_links_final": W(P, f"SELECT DISTINCT a.user_id AS src, b.user_id AS dst FROM s{ITERS} a JOIN s{ITERS} b "
+                                    f"ON a.product_id = b.product_id AND a.rating = b.rating AND b.hq < a.hq"),
         "product_contributions": W(P1, f"SELECT product_id, user_id, rating, {h} AS h, e, {O.r6(O.q9('c'))} AS c, "
                                        f"{O.r6(O.q9('n'))} AS n, {O.r6(O.q9('p'))} AS p FROM x1"),
         "product_collapse": W(P1, f"SELECT product_id, user_id, rating, {h} AS h FROM s1"),
