@@ -17,7 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from peerrank.operators.general import general_graph, general_rank  # noqa: E402
 from peerrank.operators.product import product_rank  # noqa: E402

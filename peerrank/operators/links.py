@@ -81,3 +81,11 @@ def product_links_after(reviews: DataFrame, lam: float, iters: int, partitions:
     from .product import product_iterations   # product imports this module
 
     return product_link_pairs(product_iterations(reviews, lam, iters, partitions))
+
+
+def general_links(reviews: DataFrame) -> DataFrame:
+    """All General links (src, dst) of a review table."""
+    from .helpfulness import distinct_reviews, user_means
+
+    d = distinct_reviews(reviews)
+    return general_link_pairs(d, user_means(d))

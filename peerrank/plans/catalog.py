@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import dequantize, quantize, rounded6
 from ..operators.general import general_contributions, general_graph, general_rank, named
 from ..operators.helpfulness import distinct_reviews, product_summary, review_helpfulness, user_means
-from ..operators.links import general_link_pairs, product_link_pairs, product_links_after
+from ..operators.links import general_links, product_link_pairs, product_links_after
 from ..operators.partitions import partition_report
 from ..operators.product import product_collapse, product_contributions, product_rank, product_rows
 from ..operators.report import graph_links, graph_nodes, leaderboard, rank_bands, rank_trajectory, top_users, user_lookup
@@ -116,8 +116,7 @@ def q_product_summary(spark, sf):
 # --- General -------------------------------------------------------------------
 
 def _all_links(rv):
-    d = distinct_reviews(rv)
-    return general_link_pairs(d, user_means(d))
+    return general_links(rv)
 
 
 def q_general_links(spark, sf):

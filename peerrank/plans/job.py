@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.general import general_rank
-from ..operators.helpfulness import distinct_reviews, user_means
-from ..operators.links import general_link_pairs, product_link_pairs
+from ..operators.links import general_links, product_link_pairs
 from ..operators.product import product_rank, product_rows
 from ..session import ENGINE_CONF, ensure_checkpoint_dir
 from ..sources.reviews import load_reviews
@@ -56,8 +55,7 @@ def rank_job(spark: SparkSession, mode: str, input_path: str, output_path: str,
         trace = rank_reviews(reviews, mode, lam, iters, partitions, trace=True)
         ranks = trace.filter(F.col("iter") == iters).select("user_id", "rank_q", "rank")
         if mode == "General":
-            d = distinct_reviews(reviews)
-            links = general_link_pairs(d, user_means(d))
+            links = general_links(reviews)
         else:
             links = product_link_pairs(product_rows(reviews, partitions))
         trace.write.mode(write_mode).partitionBy("iter").parquet(f"{output_path}_trace")
