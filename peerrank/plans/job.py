@@ -74,6 +74,9 @@ def main(argv: list[str]) -> int:
     builder = SparkSession.builder.appName("peerrank")
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
+    # bucketed intermediates and shuffles must agree on the partition count
+    # for co-partitioned joins
+    builder = builder.config("spark.sql.shuffle.partitions", str(int(partitions)))
     spark = builder.getOrCreate()
     rank_job(spark, mode, input_path, output_path, float(lam), int(iters), int(partitions),
              demo=demo.lower() == "true")
