@@ -81,3 +81,14 @@ def test_hot_sources_spread(small):
     assert spread.hot_links is not None and spread.hot_links.count() > 0
     assert qmap(plain.nodes, "deg") == qmap(spread.nodes, "deg")
     assert qmap(general_rank(small, 20, 3, graph=plain)) == qmap(general_rank(small, 20, 3, graph=spread))
+
+
+def trace_map(df):
+    return {(r.iter, r.user_id): r.rank_q for r in df.collect()}
+
+
+def test_traces_on_skew_paths(small):
+    assert trace_map(product_rank(small, 20, 3, trace=True, hot_rows=None)) == \
+        trace_map(product_rank(small, 20, 3, trace=True, hot_rows=4))
+    assert trace_map(general_rank(small, 20, 3, trace=True, heavy_users=None)) == \
+        trace_map(general_rank(small, 20, 3, trace=True, heavy_users=3))
