@@ -3,7 +3,8 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query runs to completion through the ``noop`` sink (all rows computed,
-nothing collected).  Configurations follow the original job's recorded
+nothing collected); the reported time is the best of ``BENCH_REPEAT`` (2)
+runs after an untimed warm-up.  Configurations follow the original job's recorded
 runs: General with LAMBDA=20, ITER=3 (batch) and both modes with
 LAMBDA=20, ITER=10 (demo).
 """
@@ -41,10 +42,17 @@ def main() -> None:
 
     timings: dict[str, float] = {}
 
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+
     def timed(name, fn):
-        t0 = time.perf_counter()
-        fn()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        # best of `repeat` runs: single runs on a shared machine vary by ~30%
+        best = None
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            fn()
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        timings[name] = round(best, 3)
 
     # Untimed warm-up over the same code paths (JIT, parquet footers): the
     # first run of a plan shape in a fresh JVM is 1.5-2x slower than steady state.
@@ -74,6 +82,8 @@ def main() -> None:
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        "partitions": parts,
+        "stat": f"min of {repeat} runs after warm-up",
     }))
 
 
