@@ -35,11 +35,13 @@ class JobResult:
 
 
 def rank_reviews(reviews: DataFrame, mode: str, lam: float = 20, iters: int = 10, partitions: int | None = None,
-                 trace: bool = False, checkpoint_every: int = 5) -> DataFrame:
+                 trace: bool = False, checkpoint_every: int | None = None) -> DataFrame:
+    """Ranks in one mode; ``checkpoint_every`` defaults to each mode's own."""
+    extra = {} if checkpoint_every is None else {"checkpoint_every": checkpoint_every}
     if mode == "General":
-        return general_rank(reviews, lam, iters, partitions, checkpoint_every=checkpoint_every, trace=trace)
+        return general_rank(reviews, lam, iters, partitions, trace=trace, **extra)
     if mode == "Product":
-        return product_rank(reviews, lam, iters, partitions, checkpoint_every=checkpoint_every, trace=trace)
+        return product_rank(reviews, lam, iters, partitions, trace=trace, **extra)
     raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
 
 
