@@ -11,7 +11,11 @@ Per iteration, inside one (product, rating) group of rows:
 The last line is the closed form of adding the contributions one at a
 time in ascending donor order with a clamp to [-1, 1] after each addition:
 negative donors come first, and within one sign repeated clamping equals
-one final clamp.  Links are re-derived from the new h every iteration.
+one final clamp.  Every row also receives a zero from itself, with donor h
+equal to its own h; the lowest row's zero therefore comes first and clamps
+the start value, which matters only for a value above 1 (top > all) - so
+h is clamped before N is added.  Links are re-derived from the new h every
+iteration.
 
 Rows of one user in one product donate separately in the first iteration;
 the update then merges them into one row holding the first row's rating
@@ -78,8 +82,12 @@ def product_contributions(rows: DataFrame, lam: float) -> DataFrame:
     )
 
 
+def _clamp(x: F.Column) -> F.Column:
+    return F.least(F.lit(1.0), F.greatest(F.lit(-1.0), x))
+
+
 def _update(h: F.Column, n: F.Column, p: F.Column) -> F.Column:
-    return F.least(F.lit(1.0), F.greatest(F.lit(-1.0), h + n) + p)
+    return F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _clamp(h) + n) + p)
 
 
 def product_collapse(contrib: DataFrame) -> DataFrame:

@@ -68,13 +68,13 @@ def product_ctes(lam: float, iters: int) -> list[tuple[str, str]]:
                               f"WINDOW wd AS (PARTITION BY product_id, rating ORDER BY hq DESC "
                               f"RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
         if i == 1:
-            upd = q9(f"least(1.0, greatest(-1.0, {h9('f.hq')} + n) + p)")
+            upd = q9(f"least(1.0, greatest(-1.0, least(1.0, greatest(-1.0, {h9('f.hq')})) + n) + p)")
             ctes.append(("s1", f"SELECT product_id, user_id, f.rating AS rating, {upd} AS hq FROM ("
                                f"SELECT product_id, user_id, "
                                f"arg_min({{'rating': rating, 'hq': hq}}, {{'t': unix_time, 'r': review_id, 'g': rating, 'h': hq}}) AS f, "
                                f"sum(n) AS n, sum(p) AS p FROM x1 GROUP BY product_id, user_id)"))
         else:
-            upd = q9(f"least(1.0, greatest(-1.0, {h9('hq')} + n) + p)")
+            upd = q9(f"least(1.0, greatest(-1.0, least(1.0, greatest(-1.0, {h9('hq')})) + n) + p)")
             ctes.append((f"s{i}", f"SELECT product_id, user_id, rating, {upd} AS hq FROM x{i}"))
     return ctes
 

@@ -61,7 +61,7 @@ def product(reviews, lam, iters):
                 mine = [b for b in rs if b["u"] == u]
                 first = min(mine, key=lambda b: b["key"])
                 acc = first["h"] / S
-                for _, c in sorted(received[u], key=lambda x: x[0]):
+                for _, c in sorted(received[u], key=lambda x: x[0]):   # ascending donor h
                     acc = max(-1.0, min(1.0, acc + c))
                 new_rows[p].append(dict(p=p, u=u, r=first["r"], h=q(acc), key=(0, 0, first["r"], q(acc))))
         by_p = new_rows

@@ -152,3 +152,35 @@ def test_rank_job_writes_result(spark, tmp_out, data_path):
     assert trace.select("iter").distinct().count() == 11
     with pytest.raises(Exception):
         rank_job(spark, "Product", data_path("demo_reviews.csv"), out, 20, 1, 4)   # output exists
+
+
+def random_reviews_over_voted(seed, n=70, products=3, users=10):
+    """Like random_reviews, with some top > all votes (h above 1)."""
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        a = rnd.choice([1, 2, 3, 4])
+        t = rnd.randint(0, a + 2)
+        out.append((i, f"P{rnd.randrange(products)}", f"U{rnd.randrange(users)}", rnd.randint(1, 2), t, a, rnd.randint(0, 10)))
+    return out
+
+
+@pytest.mark.parametrize("seed", [31, 32, 33])
+def test_start_above_one_with_duplicates(spark, tmp_out, seed):
+    rows = random_reviews_over_voted(seed)
+    r = load_reviews(spark, write_csv(tmp_out(f"o{seed}.csv"), rows))
+    close(as_map(product_rank(r, 2, 3)), BF.product(rows, 2, 3))
+    close(as_map(product_rank(r, 2, 3, hot_rows=4)), BF.product(rows, 2, 3))
+
+
+@pytest.mark.parametrize("hot_rows", [None, 2])
+def test_merged_row_start_above_one_meets_clamp_first(spark, tmp_out, hot_rows):
+    # A's first row has h = 2 (top > all); A's second row (h = -1, rating 2)
+    # receives -0.5 from B and -1/6 from C.  One at a time in ascending donor
+    # order, the second row's own zero (donor h = -1) comes first and clamps
+    # 2 to 1; then 1 - 0.5 - 1/6 = 1/3.  Without that clamp the result is 1.
+    rows = [(1, "P", "A", 1, 3, 2, 1), (2, "P", "A", 2, 0, 2, 5), (3, "P", "B", 2, 1, 4, 2), (4, "P", "C", 2, 1, 3, 3)]
+    r = load_reviews(spark, write_csv(tmp_out(f"m{hot_rows}.csv"), rows))
+    got = as_map(product_rank(r, 1, 1, hot_rows=hot_rows))
+    assert got["A"] == pytest.approx(1 / 3, abs=1e-9)
+    close(got, BF.product(rows, 1, 1))
