@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.general import general_rank
 from ..operators.links import general_links, product_link_pairs
 from ..operators.product import product_rank, product_rows
-from ..session import ENGINE_CONF, ensure_checkpoint_dir
+from ..session import ENGINE_CONF, drop_scratch_tables, ensure_checkpoint_dir
 from ..sources.reviews import load_reviews
 from ..sources.runlog import runlog_lines
 from ..sources.sinks import write_result
@@ -47,7 +47,7 @@ def rank_reviews(reviews: DataFrame, mode: str, lam: float = 20, iters: int = 10
 
 def rank_job(spark: SparkSession, mode: str, input_path: str, output_path: str, lam: float = 20, iters: int = 10,
              partitions: int | None = None, demo: bool = False, write_mode: str = "errorifexists",
-             single_file: bool = False) -> JobResult:
+             single_file: bool = False, drop_scratch: bool = False) -> JobResult:
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
     ensure_checkpoint_dir(spark)
@@ -65,6 +65,10 @@ def rank_job(spark: SparkSession, mode: str, input_path: str, output_path: str,
     else:
         ranks = rank_reviews(reviews, mode, lam, iters, partitions)
     write_result(ranks, output_path, mode=write_mode, single_file=single_file, float_text=True)
+    if drop_scratch:
+        # outputs are written; later reads of ``ranks``/``trace`` resolve afresh
+        drop_scratch_tables(spark)
+        return JobResult(ranks=spark.read.text(output_path), trace=None)
     return JobResult(ranks=ranks, trace=trace)
 
 
@@ -81,7 +85,7 @@ def main(argv: list[str]) -> int:
     builder = builder.config("spark.sql.shuffle.partitions", str(int(partitions)))
     spark = builder.getOrCreate()
     rank_job(spark, mode, input_path, output_path, float(lam), int(iters), int(partitions),
-             demo=demo.lower() == "true")
+             demo=demo.lower() == "true", drop_scratch=True)
     return 0
 
 

@@ -102,3 +102,16 @@ def cut_lineage_keyed(df: DataFrame, keys: list[str], partitions: int, prepartit
         .saveAsTable(name)
     )
     return spark.table(name)
+
+
+def drop_scratch_tables(spark: SparkSession) -> int:
+    """Drops the catalog entries of the scratch tables written by
+    ``cut_lineage_keyed`` (their files stay in the checkpoint folder, which
+    the cluster's own retention cleans).  Call it once the results that
+    read them have been written; returns the number of tables dropped."""
+    if not spark.catalog.databaseExists(SCRATCH_DB):
+        return 0
+    names = [t.name for t in spark.catalog.listTables(SCRATCH_DB)]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {SCRATCH_DB}.{name}")
+    return len(names)

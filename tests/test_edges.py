@@ -184,3 +184,12 @@ def test_merged_row_start_above_one_meets_clamp_first(spark, tmp_out, hot_rows):
     got = as_map(product_rank(r, 1, 1, hot_rows=hot_rows))
     assert got["A"] == pytest.approx(1 / 3, abs=1e-9)
     close(got, BF.product(rows, 1, 1))
+
+
+def test_job_drops_scratch_tables(spark, tmp_out, data_path):
+    from peerrank.session import SCRATCH_DB
+
+    out = tmp_out("result_drop")
+    res = rank_job(spark, "General", data_path("demo_reviews.csv"), out, 20, 3, 4, drop_scratch=True)
+    assert spark.catalog.listTables(SCRATCH_DB) == []
+    assert res.ranks.count() == 21 and read_result(spark, out).count() == 21
