@@ -6,10 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, neardup, pii
+import public_tokenizers
+
+from . import licences, mixing, neardup, pii, tokenfile, toxicity, vptree, warczip
 from .common import read_table
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_report(read_table(spark, sf_dir, "documents"))
+
+
+def op2_vptree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return tokenfile.token_file_report(read_table(spark, sf_dir, "documents"), tokenizer, end_id=1)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -18,13 +38,22 @@ def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_dup_report(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op8_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warczip.archive_report(read_table(spark, sf_dir, "pages"), least_bytes=0)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_scan": op1_licence_scan,
+    "op2_vptree_neighbours": op2_vptree_neighbours,
+    "op3_toxicity": op3_toxicity,
+    "op4_token_files": op4_token_files,
     "op5_source_mix": op5_source_mix,
     "op6_near_dups": op6_near_dups,
+    "op8_warc_packages": op8_warc_packages,
     "op10_pii": op10_pii,
 }
 
