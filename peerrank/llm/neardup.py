@@ -196,8 +196,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, perc
 
 
 def near_dup_groups(docs: DataFrame, shingle: int = 2, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, node, component) per document; ``component`` is the
-    smallest node (shingle set fingerprint) of its group."""
+    """(doc_id, n_shingles, node, text_key, component) per document;
+    ``component`` is the smallest node (shingle set fingerprint) of its group."""
     signed = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign(shingle, bands, rows), SIGNED), "neardup-signed")
     classes = written(
         signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
@@ -227,7 +227,7 @@ def near_dup_groups(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     named = _named(shared, parts)
     rest = _open_pairs(named, classes, percent)
     checked, links, parts = _round(rest, checked, links, parts, docs, classes, shingle, percent)
-    return _named(signed.select("doc_id", "n_shingles", "node"), parts)
+    return _named(signed.select("doc_id", "n_shingles", "node", "text_key"), parts)
 
 
 def _open_pairs(named: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -343,3 +343,32 @@ def near_dup_report(docs: DataFrame, **options) -> DataFrame:
         "doc_id", "n_shingles",
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_dups(docs: DataFrame, shingle: int = 5, **options) -> DataFrame:
+    """``docs`` (all columns) with one document of each group: the smallest
+    doc_id (then text key; null ids last).  Rows that repeat it go too."""
+    groups = written(
+        near_dup_groups(docs, shingle=shingle, **options).filter(F.col("component").isNotNull())
+        .select("component", "doc_id", "text_key"),
+        "neardup-groups",
+    )
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_key"))
+    chosen = groups.groupBy("component").agg(F.min(place).alias("pick"))
+    losers = (
+        groups.join(chosen, "component")
+        .filter(~(F.col("doc_id").eqNullSafe(F.col("pick.doc_id")) & (F.col("text_key") == F.col("pick.text_key"))))
+        .select(F.col("doc_id").alias("_lost_id"), F.col("text_key").alias("_lost_key")).distinct()
+    )
+    key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    rest = docs.join(
+        losers, F.col("doc_id").cast("long").eqNullSafe(F.col("_lost_id")) & (key == F.col("_lost_key")), "left_anti"
+    )
+    repeated = groups.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return rest
+    again = written(repeated.select(F.col("doc_id").alias("_again_id"), F.col("text_key").alias("_again_key")), "neardup-repeated")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_again_id")) & (key == F.col("_again_key"))
+    return rest.join(again, same, "left_anti").unionByName(
+        rest.join(again, same, "left_semi").withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import licences, mixing, neardup, pii, tokenfile, toxicity, vptree, warczip
+from . import decontam, fuzzylines, licences, mixing, neardup, pii, tokenfile, toxicity, vptree, warczip
 from .common import read_table
 
 
@@ -38,10 +38,19 @@ def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_dup_report(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op8_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warczip.archive_report(read_table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzylines.line_report(read_table(spark, sf_dir, "documents"), similarity=0.9)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
 
@@ -53,7 +62,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_source_mix": op5_source_mix,
     "op6_near_dups": op6_near_dups,
+    "op7_decontaminate": op7_decontaminate,
     "op8_warc_packages": op8_warc_packages,
+    "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_pii": op10_pii,
 }
 
