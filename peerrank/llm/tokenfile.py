@@ -13,8 +13,8 @@ Ids are little-endian, two bytes each if the vocabulary allows, else four.
 
 Encoding: the tokenizer's result does not depend on what stands across a space
 or line break, so each piece between them is encoded by the tokenizers library
-once and remembered (a bounded dictionary, emptied when full).  A full stop or
-comma after an ASCII letter is a piece of its own for the same reason.  This
+once per Python worker and remembered (a bounded dictionary; once it is full,
+other pieces are encoded once per batch).  A full stop or comma after an ASCII letter is a piece of its own for the same reason.  This
 holds for tokenizers that drop white space (``white_space_dropped``); others
 encode whole texts.
 
@@ -27,8 +27,11 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,37 +57,88 @@ REPORT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 class Encoder:
     """Texts to ids of a ``tokenizers`` file, as little-endian bytes."""
 
-    def __init__(self, path: str, white_space_dropped: bool = True, remember: int = 400_000) -> None:
+    def __init__(self, path: str, white_space_dropped: bool = True, remember: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.dtype = np.dtype(f"<u{self.width}")
+        self.code = {2: "H", 4: "I"}[self.width]
         self.white_space_dropped = white_space_dropped
         self.remember = remember
         self.known: dict[str, bytes] = {"": b""}
+        # which ids end a word, if the vocabulary marks word ends
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.word_ends = None
+        if suffix and white_space_dropped:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.word_ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.word_ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        coded = array(self.code, ids)
+        if sys.byteorder == "big":
+            coded.byteswap()
+        return coded.tobytes()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces without white space.  Words of letters go 256 to a text:
+        each has one id that ends a word, its last."""
+        out: dict[str, bytes] = {}
+        # (the lower-case form of the dotted capital I is not all letters)
+        plain = [w for w in pieces if w.isalpha() and "\u0130" not in w] if self.word_ends is not None else []
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=f"<u{self.width}")
+            ends = (np.flatnonzero(self.word_ends[ids]) + 1) * self.width
+            if len(ends) != len(group) or ends[-1] != len(ids) * self.width:
+                continue
+            coded, at = ids.tobytes(), 0
+            for word, to in zip(group, ends.tolist(), strict=True):
+                out[word] = coded[at:to]
+                at = to
+        rest = [w for w in pieces if w not in out]
+        out.update(zip(rest, self._encode(rest), strict=True))
+        return out
 
     def __call__(self, texts: list[str], end_id: int) -> list[bytes]:
-        end = np.array([end_id], dtype=self.dtype).tobytes()
+        end = self._bytes([end_id])
         if not self.white_space_dropped:
             return [ids + end for ids in self._encode(texts)]
-        if len(self.known) > self.remember:
-            self.known = {"": b""}
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        get, out, open_texts = self.known.get, [], []
+        for t in texts:
+            words = t.replace("\n", " ").split(" ")
+            ids = list(map(get, words))
+            if None in ids:
+                open_texts.append((len(out), words, ids))
+                out.append(b"")
+            else:
+                out.append(b"".join(ids) + end)
+        if open_texts:
+            found = self._new_pieces({w for _, words, ids in open_texts for w, x in zip(words, ids, strict=True) if x is None})
+            for at, words, ids in open_texts:
+                out[at] = b"".join([found[w] if x is None else x for w, x in zip(words, ids, strict=True)]) + end
+        return out
+
+    def _new_pieces(self, words: set[str]) -> dict[str, bytes]:
         known = self.known
-        new = list({w for words in cut for w in words if w not in known})
-        stems = {w: w[:-1] for w in new if w[-1] in ".," and len(w) > 1 and w[-2].isascii() and w[-2].isalpha()}
-        plain = list({stems.get(w, w) for w in new if stems.get(w, w) not in known} | ({".", ","} - known.keys()))
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            known.update(zip(some, self._encode(some), strict=True))
+        stems = {w: w[:-1] for w in words if w[-1] in ".," and len(w) > 1 and w[-2].isascii() and w[-2].isalpha()}
+        needed = (words - stems.keys()) | {x for x in stems.values() if x not in known} | ({".", ","} - known.keys())
+        found = self._encode_pieces(list(needed))
         for w, stem in stems.items():
-            known[w] = known[stem] + known[w[-1]]
-        return [b"".join([known[w] for w in words]) + end for words in cut]
+            found[w] = (found.get(stem) or known[stem]) + (found.get(w[-1]) or known[w[-1]])
+        if len(known) + len(found) <= self.remember:
+            known.update(found)
+        return found
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str, white_space_dropped: bool) -> Encoder:
+    """One encoder per Python worker, which runs many tasks one after another."""
+    return Encoder(path, white_space_dropped)
 
 
 class TokenFileWriter:
@@ -178,13 +232,13 @@ class TokenFileReader:
 
 def _write_part(folder: str, tokenizer: str, end_id: int, frame_bytes: int, white_space_dropped: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = None, TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}.tok.zst"
         rows = (b for b in small_batches(batches, 256) if b.num_rows)
         first = next(rows, None)
         if first is None:
             return
-        encode = Encoder(tokenizer, white_space_dropped)
+        encode = shared_encoder(tokenizer, white_space_dropped)
         documents = 0
         with new_file(path) as out:
             writer = TokenFileWriter(out, encode.width, frame_bytes)
