@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -39,10 +40,27 @@ def ascii_lower(text: Column) -> Column:
 
 def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``: a task holds few texts at
-    a time as Python objects."""
+    a time as Python objects.  At the end the worker, which lives on for other
+    tasks, gives back what it no longer uses."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    release_memory()
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Texts may be long: no more than ``rows`` of them go to Python at once
+    (in both processes a batch is held whole)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

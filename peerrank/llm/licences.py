@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_bytes
+from .common import bound_batches, small_batches, text_bytes
 
 REPORT = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
@@ -199,6 +199,7 @@ def licence_report(docs: DataFrame, templates=TEMPLATES, slack: int = 6, rare: i
     coverage; ``evidence`` lists label@word place of each finding.
     """
     index = Index(templates)
+    bound_batches(docs.sparkSession)
     counts, files = word_frequencies(docs, index)
     idf = {w: math.log((1 + files) / (1 + counts.get(w, 0))) + 1 for w in index.vocabulary}
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_bytes, written
+from .common import bound_batches, small_batches, text_bytes, written
 from .components import connected_components
 
 # Star rounds before the pairs that are left: each bucket is compared with so
@@ -60,7 +60,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def word_hashes(words: list[bytes], known: dict[bytes, int], limit: int = 200_000) -> np.ndarray:
+def word_hashes(words: list[bytes], known: dict[bytes, int], limit: int = 100_000) -> np.ndarray:
     """64-bit hashes of words; ``known`` remembers those of frequent words."""
     out = []
     add, get = out.append, known.get
@@ -198,6 +198,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, perc
 def near_dup_groups(docs: DataFrame, shingle: int = 2, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
     """(doc_id, n_shingles, node, text_key, component) per document;
     ``component`` is the smallest node (shingle set fingerprint) of its group."""
+    bound_batches(docs.sparkSession)
     signed = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sign(shingle, bands, rows), SIGNED), "neardup-signed")
     classes = written(
         signed.filter(F.col("node").isNotNull()).groupBy("node").agg(

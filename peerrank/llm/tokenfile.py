@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, small_batches
+from .common import bound_batches, shared_folder, small_batches
 from .storage import new_file, random_access, read_range
 
 # The public seekable format of zstandard.
@@ -57,7 +57,7 @@ REPORT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 class Encoder:
     """Texts to ids of a ``tokenizers`` file, as little-endian bytes."""
 
-    def __init__(self, path: str, white_space_dropped: bool = True, remember: int = 300_000) -> None:
+    def __init__(self, path: str, white_space_dropped: bool = True, remember: int = 200_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
@@ -263,6 +263,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     """Writes the ids of all texts in ascending doc_id order, one file per
     range of ids.  Returns the manifest in file order: one entry per file,
     with the number of ids in all files before it (``start``)."""
+    bound_batches(docs.sparkSession)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import bound_batches, small_batches, written
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int, evidence array<long>, similarity double"
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -57,7 +57,7 @@ class TermCounter:
     """Counts the terms of texts, those of ``vocabulary`` only if given;
     remembers what words map to (a bounded dictionary)."""
 
-    def __init__(self, vocabulary: dict[str, int] | None = None, remember: int = 300_000) -> None:
+    def __init__(self, vocabulary: dict[str, int] | None = None, remember: int = 100_000) -> None:
         self.vocabulary, self.remember = vocabulary, remember
         self.known: dict[str, tuple] = {}
 
@@ -182,7 +182,7 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 16_384, max_terms: int = 8_192, least_g: float = 25.0,
         least_odds: float = 4.0, k: int = 15, shrink: float = 0.5) -> Model | None:
     """The model, or None without training rows of both labels."""
-    spark = docs.sparkSession
+    bound_batches(docs.sparkSession)
     train = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))

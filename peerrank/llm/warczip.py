@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, small_batches
+from .common import bound_batches, shared_folder, small_batches
 from .storage import new_file, random_access, read_range
 
 # Signatures and sizes of the ZIP format.
@@ -310,6 +310,7 @@ def _write_packages(folder: str, zip64: bool, level: int, package_bytes: int):
 def write_packages(pages: DataFrame, folder: str, least_bytes: int = 0, zip64: bool = False, level: int = 1,
                    package_bytes: int = 1 << 28) -> list[dict]:
     """Writes every page; returns the manifest, one entry per package."""
+    bound_batches(pages.sparkSession)
     typed = with_record_types(pages, least_bytes)
     rows = typed.mapInArrow(_write_packages(folder, zip64, level, package_bytes), MANIFEST).collect()
     return [r.asDict() for r in sorted(rows, key=lambda r: r["path"])]
