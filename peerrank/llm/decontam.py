@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import bound_batches, small_batches, written
 
 FOUND = "doc_id long, text_key binary, item_id long, cosine double, lcs double, answer double, first_word int"
 _WORD_BYTES = bytes(
@@ -110,21 +110,32 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
 # --- passages as sparse rows -------------------------------------------------
 
 
-def window_cells(ids: np.ndarray, size: int, stride: int, informative: np.ndarray):
-    """(window, word, count) for the informative words of all windows of one
-    document; windows start at multiples of ``stride``, the last one included."""
+def window_cells(docs: list[np.ndarray], size: int, stride: int, informative: np.ndarray):
+    """The informative words of all windows of several documents, as cells of
+    a sparse matrix: row (running number), word, count per cell, and per row
+    its document and window.  Windows start at multiples of ``stride``, the
+    last one included; windows without informative words have no row.  None if
+    there is no cell."""
+    lengths = np.array([len(d) for d in docs], dtype=np.int64)
+    ids = np.concatenate(docs) if docs else np.empty(0, dtype=np.int64)
     at = np.flatnonzero(informative[ids])
     if not len(at):
         return None
-    words = ids[at]
-    last = max(0, -(-(len(ids) - size) // stride))
-    first = np.maximum(0, (at - size) // stride + 1)
-    until = np.minimum(at // stride, last)
-    copies = until - first + 1
-    window = np.repeat(first, copies) + (np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies))
-    key = window.astype(np.int64) << 32 | np.repeat(words, copies)
-    key, count = np.unique(key, return_counts=True)
-    return key >> 32, (key & 0xFFFFFFFF).astype(np.int64), count
+    begin = np.concatenate([[0], np.cumsum(lengths)])
+    doc = np.searchsorted(begin, at, side="right") - 1
+    place = at - begin[doc]
+    last = np.maximum(0, -(-(lengths - size) // stride))  # number of each document's last window
+    base = np.concatenate([[0], np.cumsum(last + 1)])
+    first = np.maximum(0, (place - size) // stride + 1)
+    copies = np.minimum(place // stride, last[doc]) - first + 1
+    nth = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+    window = np.repeat(base[doc] + first, copies) + nth
+    words = len(informative)
+    cell, count = np.unique(window * words + np.repeat(ids[at], copies), return_counts=True)
+    window, word = cell // words, cell % words
+    names, row = np.unique(window, return_inverse=True)
+    owner = np.searchsorted(base, names, side="right") - 1
+    return row, word, count, owner, names - base[owner]
 
 
 def tfidf_rows(row: np.ndarray, word: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -140,27 +151,6 @@ def projected(row: np.ndarray, word: np.ndarray, value: np.ndarray, basis: np.nd
     return np.add.reduceat(basis[word] * value[:, None].astype(basis.dtype), starts, axis=0)
 
 
-def _stacked(docs_ids: list[np.ndarray], size: int, stride: int, informative: np.ndarray):
-    """Cells of several documents with running row numbers; also each row's
-    document and window."""
-    rows, words, counts, owner, window, at = [], [], [], [], [], 0
-    for d, ids in enumerate(docs_ids):
-        cells = window_cells(ids, size, stride, informative)
-        if cells is None:
-            continue
-        w, word, count = cells
-        names, row = np.unique(w, return_inverse=True)
-        rows.append(row + at)
-        words.append(word)
-        counts.append(count)
-        owner.append(np.full(len(names), d))
-        window.append(names)
-        at += len(names)
-    if not rows:
-        return None
-    return tuple(np.concatenate(x) for x in (rows, words, counts, owner, window))
-
-
 # --- passes ------------------------------------------------------------------
 
 
@@ -243,8 +233,8 @@ def fit_basis(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep, weight = shared.value
         omega, total = test_matrix(), np.zeros((n, wide))
-        for batch in small_batches(batches, 256):
-            cells = _stacked(_decoded(batch, dtype), s.fit_words, s.fit_words, keep)
+        for batch in small_batches(batches):
+            cells = window_cells(_decoded(batch, dtype), s.fit_words, s.fit_words, keep)
             if cells is None:
                 continue
             row, word, count, _, _ = cells
@@ -303,16 +293,16 @@ def search(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.nd
             classes.setdefault(size_of(len(words)), []).append(i)
         latent = {}
         for size, members in classes.items():
-            cells = _stacked([its.words[i].astype(np.int64) for i in members], 1 << 30, 1 << 30, keep)
+            cells = window_cells([its.words[i].astype(np.int64) for i in members], 1 << 30, 1 << 30, keep)
             row, word, count, owner, _ = cells
             vectors = np.zeros((len(members), base.shape[1]), dtype=np.float32)
             vectors[owner] = projected(row, word, tfidf_rows(row, word, count, weight), base)
             latent[size] = _unit(vectors)
-        for batch in small_batches(batches, 256):
+        for batch in small_batches(batches):
             docs = _decoded(batch, dtype)
             near: dict[tuple[int, int], list[tuple[float, int]]] = {}
             for size, members in classes.items():
-                cells = _stacked(docs, size, size // 2, keep)
+                cells = window_cells(docs, size, size // 2, keep)
                 if cells is None:
                     continue
                 row, word, count, owner, window = cells
@@ -372,6 +362,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | Non
     """doc_id, text_key, item_id, cosine, lcs, answer, first_word for every
     document and benchmark item that it contains."""
     s = settings or Settings()
+    bound_batches(docs.sparkSession)
     items_table = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = max(1, math.ceil(items_table.count() / s.block_items))
     out = None
