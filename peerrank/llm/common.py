@@ -31,6 +31,14 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with a suffix that no column of ``df`` has."""
+    taken, suffix = {c.lower() for c in df.columns}, ""
+    while any(f"{n}{suffix}".lower() in taken for n in names):
+        suffix += "_"
+    return [f"{n}{suffix}" for n in names]
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z (and no other letter) lower-cased; null becomes ''."""
     return F.translate(

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, small_batches, written
+from .common import bound_batches, fresh, small_batches, written
 
 FOUND = "doc_id long, text_key binary, item_id long, cosine double, lcs double, answer double, first_word int"
 _WORD_BYTES = bytes(
@@ -385,7 +385,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | Non
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    found = written(contaminated(docs, benchmark, settings).select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key")).distinct(), "decontam-found")
+    hit_id, hit_key = fresh(docs, "_hit_id", "_hit_key")
+    found = contaminated(docs, benchmark, settings).select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key))
+    found = written(found.distinct(), "decontam-found")
     return docs.join(
-        found, F.col("doc_id").cast("long").eqNullSafe(F.col("_hit_id")) & (text_key() == F.col("_hit_key")), "left_anti"
+        found, F.col("doc_id").cast("long").eqNullSafe(F.col(hit_id)) & (text_key() == F.col(hit_key)), "left_anti"
     )

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 
 EPS = 1e-9
 UNIT = "doc_id string, source string, no_source boolean, size long, rows long, whole long, prob double, draw long"
@@ -214,17 +214,18 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` (all columns) with each row repeated as often as it is taken."""
+    own_id, own_source, none, size, copies, nth = fresh(docs, "_mix_id", "_mix_source", "_mix_none", "_mix_size", "_mix_copies", "_mix_nth")
     units = mix_units(docs, **options).select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"),
-        F.col("no_source").alias("_mix_none"), F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies"),
-    ).filter(F.col("_mix_copies") > 0)
+        F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("no_source").alias(none),
+        F.col("size").alias(size), F.col("copies").alias(copies),
+    ).filter(F.col(copies) > 0)
     matched = docs.join(
         units,
-        F.col("doc_id").cast("string").eqNullSafe(F.col("_mix_id"))
-        & (F.coalesce(F.col("source"), F.lit("")) == F.col("_mix_source"))
-        & (F.col("source").isNull() == F.col("_mix_none"))
-        & (words_in(F.col("text")) == F.col("_mix_size")),
+        F.col("doc_id").cast("string").eqNullSafe(F.col(own_id))
+        & (F.coalesce(F.col("source"), F.lit("")) == F.col(own_source))
+        & (F.col("source").isNull() == F.col(none))
+        & (words_in(F.col("text")) == F.col(size)),
     )
-    return matched.withColumn("_mix_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies")))).select(
+    return matched.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(
         *[F.col(c) for c in docs.columns]
     )

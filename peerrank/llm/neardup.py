@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, small_batches, text_bytes, written
+from .common import bound_batches, fresh, small_batches, text_bytes, written
 from .components import connected_components
 
 # Star rounds before the pairs that are left: each bucket is compared with so
@@ -349,6 +349,7 @@ def near_dup_report(docs: DataFrame, **options) -> DataFrame:
 def drop_near_dups(docs: DataFrame, shingle: int = 5, **options) -> DataFrame:
     """``docs`` (all columns) with one document of each group: the smallest
     doc_id (then text key; null ids last).  Rows that repeat it go too."""
+    lost_id, lost_key, again_id, again_key, own_key = fresh(docs, "_lost_id", "_lost_key", "_again_id", "_again_key", "_own_key")
     groups = written(
         near_dup_groups(docs, shingle=shingle, **options).filter(F.col("component").isNotNull())
         .select("component", "doc_id", "text_key"),
@@ -359,17 +360,17 @@ def drop_near_dups(docs: DataFrame, shingle: int = 5, **options) -> DataFrame:
     losers = (
         groups.join(chosen, "component")
         .filter(~(F.col("doc_id").eqNullSafe(F.col("pick.doc_id")) & (F.col("text_key") == F.col("pick.text_key"))))
-        .select(F.col("doc_id").alias("_lost_id"), F.col("text_key").alias("_lost_key")).distinct()
+        .select(F.col("doc_id").alias(lost_id), F.col("text_key").alias(lost_key)).distinct()
     )
     key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
     rest = docs.join(
-        losers, F.col("doc_id").cast("long").eqNullSafe(F.col("_lost_id")) & (key == F.col("_lost_key")), "left_anti"
+        losers, F.col("doc_id").cast("long").eqNullSafe(F.col(lost_id)) & (key == F.col(lost_key)), "left_anti"
     )
     repeated = groups.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1")
     if repeated.isEmpty():
         return rest
-    again = written(repeated.select(F.col("doc_id").alias("_again_id"), F.col("text_key").alias("_again_key")), "neardup-repeated")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_again_id")) & (key == F.col("_again_key"))
+    again = written(repeated.select(F.col("doc_id").alias(again_id), F.col("text_key").alias(again_key)), "neardup-repeated")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(again_id)) & (key == F.col(again_key))
     return rest.join(again, same, "left_anti").unionByName(
-        rest.join(again, same, "left_semi").withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+        rest.join(again, same, "left_semi").withColumn(own_key, key).dropDuplicates(["doc_id", own_key]).drop(own_key)
     )

@@ -152,7 +152,7 @@ def _search_shards(k: int, factor: float, leaf: int):
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float = 4.0, shard_rows: int = 8192,
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.5, shard_rows: int = 8192,
             leaf: int = 128) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` nearest vectors.
 
