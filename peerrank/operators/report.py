@@ -26,17 +26,21 @@ def leaderboard(trace: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def top_users(ranks: DataFrame, k: int = 10) -> DataFrame:
-    """The k best users; ``orderBy().limit()`` plans as a per-partition
-    top-k plus one merge of k rows per partition."""
-    top = ranks.orderBy(F.col("rank_q").desc(), F.col("user_id").asc()).limit(k)
-    return positions(top, [F.col("rank_q").desc(), F.col("user_id").asc()], partitions=1)
+    """The k best users, by their position among all; k may be as large as the
+    table, no task gathers the k rows."""
+    ranked = positions(ranks, [F.col("rank_q").desc(), F.col("user_id").asc()])
+    return ranked.filter(F.col("position") <= k)
 
 
 def rank_trajectory(board: DataFrame, iters: int) -> DataFrame:
     """One row per user with the position at each iteration
-    (``pos_0`` .. ``pos_{iters}``); a user missing at an iteration gets null."""
+    (``pos_0`` .. ``pos_{iters}``); a user missing at an iteration gets null.
+    Iterations above ``iters`` fail the job instead of being left out."""
+    known = F.when(F.col("iter") <= iters, F.col("iter")).otherwise(
+        F.raise_error(F.format_string("iteration %d is above the %d asked for", F.col("iter"), F.lit(iters))).cast("int")
+    )
     return (
-        board.groupBy("user_id")
+        board.withColumn("iter", known).groupBy("user_id")
         .pivot("iter", list(range(iters + 1)))
         .agg(F.first("position"))
         .select("user_id", *[F.col(str(i)).cast("long").alias(f"pos_{i}") for i in range(iters + 1)])

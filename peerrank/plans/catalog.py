@@ -29,7 +29,7 @@ from ..streaming.feeds import runlog_stream
 from . import oracle as O
 
 LAMBDA = 20
-ITERS = 3
+ITERS = 10
 TOP_K = 10
 
 

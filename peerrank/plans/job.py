@@ -2,7 +2,7 @@
 
 Command line (same eight arguments as the original job, in order)::
 
-    spark-submit -m peerrank.plans.job MODE DEMO INPUT OUTPUT LAMBDA ITER PARTITIONS TIMEOUT
+    spark-submit peerrank/plans/job.py MODE DEMO INPUT OUTPUT LAMBDA ITER PARTITIONS TIMEOUT
 
 MODE is ``General`` or ``Product``.  DEMO=true also writes the per-iteration
 trace (parquet by iteration) and the run log (text marker lines) next to
@@ -11,19 +11,23 @@ the output.  TIMEOUT only paced a browser demo and is accepted but unused.
 
 from __future__ import annotations
 
+import os
 import sys
 from dataclasses import dataclass
 
+if not __package__:  # run as a script: the package is two folders up
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.general import general_rank
-from ..operators.links import general_links, product_link_pairs
-from ..operators.product import product_rank, product_rows
-from ..session import ENGINE_CONF, drop_scratch_tables, ensure_checkpoint_dir
-from ..sources.reviews import load_reviews
-from ..sources.runlog import runlog_lines
-from ..sources.sinks import write_result
+from peerrank.operators.general import general_rank
+from peerrank.operators.links import general_links, product_link_pairs
+from peerrank.operators.product import product_rank, product_rows
+from peerrank.session import ENGINE_CONF, drop_scratch_tables, ensure_checkpoint_dir
+from peerrank.sources.reviews import load_reviews
+from peerrank.sources.runlog import runlog_lines
+from peerrank.sources.sinks import write_result
 
 MODES = ("General", "Product")
 
@@ -50,6 +54,10 @@ def rank_job(spark: SparkSession, mode: str, input_path: str, output_path: str,
              single_file: bool = False, drop_scratch: bool = False) -> JobResult:
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
+    if write_mode in ("error", "errorifexists"):
+        for target in [output_path, *([f"{output_path}_trace", f"{output_path}_runlog"] if demo else [])]:
+            if _exists(spark, target):
+                raise FileExistsError(f"output exists: {target}")
     ensure_checkpoint_dir(spark)
     reviews = load_reviews(spark, input_path)
     trace = None
@@ -72,6 +80,11 @@ def rank_job(spark: SparkSession, mode: str, input_path: str, output_path: str,
     return JobResult(ranks=ranks, trace=trace)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def main(argv: list[str]) -> int:
     if len(argv) < 7:
         print(__doc__, file=sys.stderr)

@@ -75,6 +75,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 SCRATCH_DB = "peerrank_scratch"
+# Spark's own limit on the buckets of a table (spark.sql.sources.bucketing.maxBuckets).
+MAX_BUCKETS = 100_000
 
 
 def cut_lineage_keyed(df: DataFrame, keys: list[str], partitions: int, prepartitioned: bool = False) -> DataFrame:
@@ -96,7 +98,7 @@ def cut_lineage_keyed(df: DataFrame, keys: list[str], partitions: int, prepartit
     laid_out = df if prepartitioned else df.repartition(partitions, *keys)
     (
         laid_out
-        .write.bucketBy(partitions, *keys)
+        .write.bucketBy(min(partitions, MAX_BUCKETS), *keys)
         .option("path", f"{base}/tables/{name.split('.')[1]}")
         .format("parquet")
         .saveAsTable(name)
