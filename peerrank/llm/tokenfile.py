@@ -57,7 +57,7 @@ REPORT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 class Encoder:
     """Texts to ids of a ``tokenizers`` file, as little-endian bytes."""
 
-    def __init__(self, path: str, white_space_dropped: bool = True, remember: int = 200_000) -> None:
+    def __init__(self, path: str, white_space_dropped: bool = True, remember: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
@@ -234,7 +234,7 @@ def _write_part(folder: str, tokenizer: str, end_id: int, frame_bytes: int, whit
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}.tok.zst"
-        rows = (b for b in small_batches(batches, 256) if b.num_rows)
+        rows = (b for b in small_batches(batches) if b.num_rows)
         first = next(rows, None)
         if first is None:
             return
