@@ -69,5 +69,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# Base32 of a SHA-1: 32 characters of 5 bits, eight from each 10 hexadecimal digits.
+_OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(x, (i // 8) * 10 + 1, 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INT)) & 31) AS INT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN f IS NOT NULL AND f IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f IS NOT NULL AND f IS DISTINCT FROM page_id THEN f END AS refers_to
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_warc_packages": _OP8_SQL}
