@@ -15,7 +15,8 @@
    cosine in the latent space of at least ``least_cosine``.
 5. Each candidate is checked word by word: longest common subsequence of the
    item and the window's surroundings, as a share of the item; and how much of
-   the item's answer (its last sentence) the region holds.  An item counts as
+   the item's answer (its last sentence) the region holds.  Regions with too
+   few of the item's words in any order cannot pass and are not aligned.  An item counts as
    contained with ``lcs >= certain``, or with ``lcs >= likely`` and an answer
    share of at least ``answer``.
 
@@ -300,7 +301,7 @@ def search(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.nd
             latent[size] = _unit(vectors)
         for batch in small_batches(batches):
             docs = _decoded(batch, dtype)
-            near: dict[tuple[int, int], list[tuple[float, int]]] = {}
+            hits: list[tuple[np.ndarray, ...]] = []  # item, document, start, cosine
             for size, members in classes.items():
                 cells = window_cells(docs, size, size // 2, keep)
                 if cells is None:
@@ -308,19 +309,15 @@ def search(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.nd
                 row, word, count, owner, window = cells
                 value = tfidf_rows(row, word, count, weight)
                 starts = np.flatnonzero(np.diff(row, prepend=-1))
+                names = np.array(members)
                 for lo in range(0, len(starts), 2048):  # bounds the rows x items matrix
                     a, b = starts[lo], starts[lo + 2048] if lo + 2048 < len(starts) else len(row)
                     x = _unit(projected(row[a:b], word[a:b], value[a:b], base))
                     for j in range(0, len(members), 1024):
                         cosine = x @ latent[size][j : j + 1024].T
-                        for w, i in zip(*np.nonzero(cosine >= s.least_cosine), strict=True):
-                            k = (int(owner[lo + w]), members[j + i])
-                            near.setdefault(k, []).append((float(cosine[w, i]), int(window[lo + w]) * (size // 2)))
-            out = []
-            for (d, i), windows in sorted(near.items()):
-                hit = _verified(docs[d], its.words[i], its.answers[i], windows, size_of(len(its.words[i])), s)
-                if hit:
-                    out.append((d, i, *hit))
+                        w, i = np.nonzero(cosine >= s.least_cosine)
+                        hits.append((names[j + i], owner[lo + w], window[lo + w] * (size // 2), cosine[w, i]))
+            out = _contained(docs, its, hits, size_of, s)
             if out:
                 keys = batch.column(1).take(pa.array([x[0] for x in out]))
                 ids = batch.column(0).take(pa.array([x[0] for x in out]))
@@ -333,21 +330,52 @@ def search(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.nd
     return encoded.mapInArrow(run, FOUND)
 
 
-def _verified(doc, words, answer, windows, size, s: Settings):
+def _contained(docs, items: Items, hits, size_of, s: Settings) -> list[tuple]:
+    """(document, item, cosine, lcs, answer share, first word) of the
+    candidates that pass, one row per document and item."""
+    if not hits:
+        return []
+    item, doc, start, cosine = (np.concatenate(x) for x in zip(*hits, strict=True))
+    order = np.lexsort((cosine, start, doc, item))
+    item, doc, start, cosine = (x[order] for x in (item, doc, start, cosine))
+    out, place = [], np.zeros(len(items.vocabulary) + 1, dtype=np.int64)
+    ends = np.flatnonzero((np.diff(item, append=-1) != 0) | (np.diff(doc, append=-1) != 0)) + 1
+    last, a = None, 0
+    for b in ends.tolist():
+        i, d = int(item[a]), int(doc[a])
+        if i != last:
+            place[:] = 0
+            distinct, counts = np.unique(items.words[i], return_counts=True)
+            place[distinct] = np.arange(1, len(distinct) + 1)
+            last = i
+        hit = _verified(docs[d], items.words[i], items.answers[i], start[a:b].tolist(), cosine[a:b].tolist(), size_of(len(items.words[i])), place, counts, s)
+        if hit:
+            out.append((d, i, *hit))
+        a = b
+    return sorted(out)
+
+
+def _verified(doc, words, answer, starts, cosines, size, place, counts, s: Settings):
     """(cosine, lcs, answer share, first word) of the best region, if it passes.
 
-    Overlapping regions of neighbouring windows are joined first.
+    Overlapping regions of neighbouring windows are joined first.  Words in
+    common, whatever their order (``place`` numbers the item's distinct words
+    from 1, ``counts`` says how often each stands in it), bound the longest
+    common subsequence from above, so regions with too few are not aligned.
     """
     margin, regions = len(words), []
-    for start, cosine in sorted((start, cosine) for cosine, start in windows):
+    for start, cosine in zip(starts, cosines, strict=True):
         lo, hi = max(0, start - margin), min(len(doc), start + size + margin)
         if regions and lo <= regions[-1][0] + margin:  # much the same region
             regions[-1] = (regions[-1][0], max(regions[-1][1], hi), max(regions[-1][2], cosine))
         else:
             regions.append((lo, hi, cosine))
-    best = None
+    best, least = None, min(s.certain, s.likely)
     for lo, hi, cosine in regions:
         part = doc[lo:hi]
+        common = np.minimum(np.bincount(place[part], minlength=len(counts) + 1)[1:], counts).sum()
+        if common / len(words) < least:
+            continue
         share = lcs_length(words, part) / len(words)
         ends = lcs_length(answer, part) / len(answer)
         if share >= s.certain or (len(words) > 2 and share >= s.likely and ends >= s.answer):
