@@ -341,6 +341,40 @@ def test_fuzzy_lines(docs_of, lorem, odd_docs):
     assert fuzzylines.line_report(odd_docs).count() == 12 and fuzzylines.line_report(docs.limit(0)).count() == 0
 
 
+def edit_distance(a, b):
+    row = np.arange(len(b) + 1)
+    b = np.array([ord(c) for c in b])
+    for i, c in enumerate(a, 1):
+        step = np.minimum(row[1:] + 1, row[:-1] + (b != ord(c)))
+        row = np.minimum.accumulate(np.concatenate(([i], step)) - np.arange(len(b) + 1)) + np.arange(len(b) + 1)
+    return int(row[-1])
+
+
+def test_near_lines_of_all_lengths_are_found(docs_of):
+    rng = random.Random(12)
+    rows, near = [], {}
+    for n in (5, 7, 10, 15, 20, 30, 40, 60, 80, 100):
+        for edits in ("one", "word", "half", "all"):
+            for _ in range(4):
+                line = " ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(2, 9))) for _ in range(n))
+                most = len(line) // 10
+                letters = list(line)
+                if edits == "word":
+                    at = rng.choice([i for i, w in enumerate(line.split()) if len(w) <= most] or [0])
+                    letters = list(" ".join("zz" if i == at else w for i, w in enumerate(line.split())))
+                else:
+                    for at in rng.sample([i for i, c in enumerate(line) if c != " "], {"one": 1, "half": max(1, most // 2), "all": most}[edits]):
+                        letters[at] = rng.choice("uvwxyz")
+                other = "".join(letters)
+                rows += [(len(rows), line, "s"), (len(rows) + 1, other, "s")]
+                if 10 * edit_distance(line, other) <= max(len(line), len(other)):
+                    near[len(rows) - 1] = len(line), edits
+    got = {r.doc_id: r.n_near for r in fuzzylines.line_report(docs_of(rows)).collect()}
+    assert not [d for d in got if got[d] and d not in near]
+    lost = [near[d] for d in near if not got[d]]
+    assert not [x for x in lost if x[0] < 86 or x[1] != "all"] and len(lost) <= 0.02 * len(near), lost
+
+
 def test_simhash_counts_votes(spark, lorem):
     texts = [lorem(n, n) for n in (1, 5, 200, 40_000)]
     lines = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, norm string")
