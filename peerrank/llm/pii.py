@@ -8,7 +8,9 @@ pieces and matches, in code points.
 Kinds: ``email``, ``ip`` (every part at most 255), ``card`` (12 to 19 digits,
 Luhn), ``phone`` (9 to 15 digits) and ``iban`` (15 to 34 characters, mod 97).
 A match that its validator rejects is dropped; the text inside it is not
-searched again.
+searched again.  An IBAN ends at a word's end: of the ends that pass mod 97 the
+one that gives its country's length, else the last.  A rejected start of an
+IBAN leaves the text after its first four characters to be searched.
 
 Each span has a score in [0, 1]: a base for its kind, raised if a word that
 usually introduces such data ("card", "call", ...) stands within ``window``
@@ -35,7 +37,18 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# Takes the first four characters and looks at all that the number could hold,
+# following words included (and, if it goes on, one character more).
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))"
+# Lengths of the IBAN registry.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BI=27, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22,
+    DJ=27, DK=18, DO=28, EE=20, EG=29, ES=24, FI=18, FK=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HN=28,
+    HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26, IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, LY=25,
+    MC=27, MD=24, ME=22, MK=19, MN=20, MR=27, MT=31, MU=30, NI=28, NL=18, NO=15, OM=23, PK=24, PL=28, PS=29, PT=25, QA=29,
+    RO=24, RS=22, RU=33, SA=24, SC=31, SD=18, SE=24, SI=19, SK=24, SM=27, SO=23, ST=25, SV=28, TL=23, TN=24, TR=26, UA=29,
+    VA=22, VG=24, XK=20, YE=30,
+)
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -73,6 +86,21 @@ def mod97(value: Column) -> Column:
     )
 
 
+def iban_size(value: Column) -> Column:
+    """Characters of the IBAN that ``value`` starts with; null if none."""
+    words = F.split(value, " ")
+    starts = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, 1, i), " "))
+    valid = F.filter(starts, lambda x: _iban(F.regexp_replace(x, " ", "")))
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+    usual = F.try_element_at(lengths, F.substring(value, 1, 2))
+    of_country = F.filter(valid, lambda x: F.length(F.regexp_replace(x, " ", "")) == usual)
+    return F.length(F.coalesce(F.get(of_country, F.lit(0)), F.get(valid, F.size(valid) - 1)))
+
+
+def _iban(value: Column) -> Column:
+    return F.when(value.rlike("^[A-Z0-9]{15,34}$"), mod97(value) == 1).otherwise(False)
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -91,10 +119,14 @@ class Kind:
             return F.length(d).between(12, 19) & F.when(F.length(d).between(12, 19), luhn(d)).otherwise(False)
         if self.name == "phone":
             return F.length(_digits(match)).between(9, 15)
-        if self.name == "iban":
-            return mod97(F.regexp_replace(match, " ", "")) == 1
         return F.lit(True)
 
+    def size(self, match: Column, ahead: Column) -> Column:
+        """Length of the span of a match; null if it is not valid."""
+        if self.name == "iban":
+            return iban_size(F.concat(match, ahead))
+        return F.when(self.valid(match), F.length(match))
+
 
 # Kinds in the order in which equal starts are listed.
 KINDS = (
@@ -111,17 +143,22 @@ def kind_spans(text: Column, kind: Kind, rank: int, window: int) -> Column:
     """array<struct<start, rank, kind, end, score>> of a kind's valid spans."""
     pattern = F.lit(kind.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
+    ahead = F.regexp_extract_all(text, pattern, F.lit(1)) if kind.name == "iban" else matches
     pieces = F.split(text, kind.pattern, -1)
     lengths = F.transform(
-        F.arrays_zip(matches.alias("m"), pieces.alias("p")),
-        lambda z: F.struct(F.coalesce(F.length(z["p"]), F.lit(0)).alias("gap"), z["m"].alias("value")),
+        F.arrays_zip(matches.alias("m"), pieces.alias("p"), ahead.alias("a")),
+        lambda z: F.struct(
+            F.coalesce(F.length(z["p"]), F.lit(0)).alias("gap"), z["m"].alias("value"),
+            F.when(z["m"].isNotNull(), kind.size(z["m"], z["a"])).alias("size"),
+        ),
     )
     empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,score:double,ok:boolean>>")
     walked = F.aggregate(
         F.filter(lengths, lambda z: z["value"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
+        F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("out")),
         lambda acc, z: F.struct(
             (acc["at"] + z["gap"] + F.length(z["value"])).alias("at"),
+            F.when(_stands(acc, z), acc["at"] + z["gap"] + z["size"]).otherwise(acc["free"]).alias("free"),
             F.concat(
                 acc["out"],
                 F.array(
@@ -129,9 +166,9 @@ def kind_spans(text: Column, kind: Kind, rank: int, window: int) -> Column:
                         (acc["at"] + z["gap"]).alias("start"),
                         F.lit(rank).alias("rank"),
                         F.lit(kind.name).alias("kind"),
-                        (acc["at"] + z["gap"] + F.length(z["value"])).alias("end"),
+                        (acc["at"] + z["gap"] + F.coalesce(z["size"], F.lit(0))).alias("end"),
                         F.lit(kind.base_score).alias("score"),
-                        kind.valid(z["value"]).alias("ok"),
+                        _stands(acc, z).alias("ok"),
                     )
                 ),
             ).alias("out"),
@@ -149,6 +186,11 @@ def kind_spans(text: Column, kind: Kind, rank: int, window: int) -> Column:
     return F.when(possible, scored).otherwise(none)
 
 
+def _stands(acc: Column, z: Column) -> Column:
+    """A valid match that does not start inside the last span."""
+    return z["size"].isNotNull() & (acc["at"] + z["gap"] >= acc["free"])
+
+
 def _context_score(text: Column, span: Column, kind: Kind, window: int) -> Column:
     first = F.greatest(span["start"] - window, F.lit(0))
     before = F.substring(text, first + 1, span["start"] - first)

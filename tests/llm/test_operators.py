@@ -425,3 +425,14 @@ def test_pii_matches_brute_force(docs_of, odd_docs):
 def test_iban_and_context(docs_of):
     a, b = pii.pii_report(docs_of([(1, "my bank account DE89 3704 0044 0532 0130 00 ok", "s"), (2, "DE88370400440532013000", "s")])).orderBy("doc_id").collect()
     assert "iban:16:43" in a.spans and a.max_score == 1.0 and "iban" not in b.spans
+
+
+def test_iban_before_other_words(docs_of):
+    iban, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    cases = [(f"{i}{after}", [(0, len(i))]) for i in (iban, spaced) for after in
+             (" BIC COBADEFFXXX", " Please", " Bank", " OK", " 12", " 1234 5678", ", Bank", "", " GB", ".", "\nAB12")]
+    cases += [(f"{iban} {spaced}", [(0, 22), (23, 50)]), (f"AB12 {spaced} AB", [(5, 32)]), (f"{iban}X", []), (f"{iban}x", []),
+              (f"x{iban}", []), (f"\U0001F600 {iban} NO9386011117947 A", [(2, 24), (25, 40)]), ("DE88370400440532013000 BIC", [])]
+    for r in pii.pii_report(docs_of([(i, t, "s") for i, (t, _) in enumerate(cases)])).collect():
+        text, want = cases[r.doc_id]
+        assert [s for s in r.spans.split(",") if s.startswith("iban")] == [f"iban:{a}:{b}" for a, b in want], text
