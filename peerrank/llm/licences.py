@@ -5,11 +5,11 @@ file for the licence to count.  The index holds, for each licence word, its
 places in the templates; the words' document frequencies come from all files.
 
 For each file and template the file's licence words of highest inverse
-document frequency are looked up.  Each of their places gives an alignment
-(place in the file minus place in the template); the alignments of the rare
-words are intersected, allowing for ``slack`` inserted or missing words.  An
-alignment counts if every key phrase stands word by word near it; its score is
-the share of template words found in order at it.
+document frequency and its key phrases are looked up.  Each of their places
+gives an alignment (place in the file minus place in the template), allowing
+for ``slack`` inserted or missing words.  An alignment counts if every key
+phrase stands word by word near it, whichever words gave it; its score is the
+share of template words found in order at it.
 
 A short notice is its own only key phrase: each place of its rarest word in
 the file is tried, so every place of the notice is found.
@@ -22,6 +22,7 @@ ignored.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -143,16 +144,21 @@ def scan(words: list[bytes], index: Index, idf: dict[bytes, float], slack: int =
             starts = {p - i for p in where[w] for i in index.places[t][w]}
             found += [(t, s, 1.0) for s in sorted(starts) if _phrase_at(words, s, template)]
             continue
+        stands = [_places(words, key, where, idf) for key in index.keys[t]]
+        if not all(stands):
+            continue
         near: Counter[int] = Counter()
         for w in ranked[:rare]:
-            cells = {(p - i + d) // slack for p in where[w] for i in index.places[t][w] for d in (0, slack)}
-            near.update(cells)  # an alignment also counts for the cell after its own
+            near.update(_cells(where[w], index.places[t][w], slack))
+        for key, places in zip(index.keys[t], stands, strict=True):
+            at = [i for i in range(len(template)) if _phrase_at(template, i, key)]
+            near.update(dict.fromkeys(_cells(places, at, slack), 0))
         best = None
-        for cell in sorted(c for c, n in near.items() if n >= min(rare, len(ranked))):
+        for cell in sorted(near, key=lambda c: (-near[c], c)):
             lo, hi = (cell - 2) * slack, (cell + 2) * slack + len(template)
-            part = words[max(lo, 0) : hi]
-            if not all(any(part[i : i + len(k)] == k for i in range(len(part) - len(k) + 1)) for k in index.keys[t]):
+            if not all(_some_in(p, max(lo, 0), hi - len(k)) for p, k in zip(stands, index.keys[t], strict=True)):
                 continue
+            part = words[max(lo, 0) : hi]
             score = _in_order(template, part) / len(template)
             if score >= least and (best is None or score > best[2]):
                 best = (t, max(lo, 0), score)
@@ -161,6 +167,22 @@ def scan(words: list[bytes], index: Index, idf: dict[bytes, float], slack: int =
     return found
 
 
+def _places(words: list[bytes], phrase: list[bytes], where: dict[bytes, list[int]], idf: dict[bytes, float]) -> list[int]:
+    """Places of ``phrase`` in ``words``, in order, looked up by its rarest word."""
+    at = max(range(len(phrase)), key=lambda i: idf[phrase[i]])
+    return [p - at for p in where[phrase[at]] if _phrase_at(words, p - at, phrase)]
+
+
+def _cells(places: list[int], in_template: list[int], slack: int) -> set[int]:
+    """An alignment also counts for the cell after its own."""
+    return {(p - i + d) // slack for p in places for i in in_template for d in (0, slack)}
+
+
+def _some_in(places: list[int], first: int, last: int) -> bool:
+    i = bisect_left(places, first)
+    return i < len(places) and places[i] <= last
+
+
 def _in_order(a: list[bytes], b: list[bytes]) -> int:
     """Length of the longest common subsequence."""
     row = [0] * (len(b) + 1)

@@ -51,6 +51,16 @@ def test_licence_template_with_changed_words_is_found(docs_of, lorem):
     assert row.labels == "mit" and row.base_labels == "" and 0.8 < row.score < 1
 
 
+def test_licence_words_far_off_do_not_hide_a_changed_notice(docs_of, lorem):
+    notice = licences.TEMPLATES[3].text
+    changed = notice.replace("obtaining a copy", "getting one copy").replace("any person", "every man")
+    texts = [f"{lorem(50, 1)} {changed} {lorem(1000, 2)} {far}" for far in ("", "obtaining", "a", "any person obtaining a copy")]
+    texts += [f"{far} {lorem(1000, 2)} {changed}" for far in ("a", "any person obtaining a copy of this")]
+    texts += [f"{notice.replace('deal', 'work')} {lorem(1000, 2)} deal in the software without restriction"]
+    rows = licences.licence_report(docs_of([(i, t, "s") for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    assert [r.labels for r in rows] == ["mit"] * 6 + [""]
+
+
 # --- 2 nearest neighbours -----------------------------------------------------
 
 
