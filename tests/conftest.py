@@ -3,10 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-DATA = os.path.join(os.path.dirname(os.path.abspath(__file__)), "data")
-SF_SMALL = "/root/testdata/sf0.001"
+from samples import DATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from samples import SF_SMALL
 
 TABLES = ["customer", "lineitem", "orders", "pages"]
 QUERIES = E.queries()

@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from peerrank.operators.general import general_rank
 from peerrank.operators.product import product_rank
 from peerrank.sources.reviews import reviews_from_tables
+from samples import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -8,12 +8,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import bruteforce as BF
-from conftest import SF_SMALL
 from peerrank.operators.general import general_graph, general_rank
 from peerrank.operators.positions import positions
 from peerrank.operators.product import product_rank
 from peerrank.operators.suffix import strict_above
 from peerrank.sources.reviews import load_reviews, reviews_from_tables
+from samples import SF_SMALL
 from test_edges import random_reviews, write_csv
 
 
