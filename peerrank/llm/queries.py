@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import decontam, fuzzylines, licences, mixing, neardup, pii, tokenfile, toxicity, vptree, warczip
+from . import (
+    convrepair, decontam, fuzzylines, licences, merkle, mixing, neardup, pii, sharding, tokenfile, toxicity, vptree, warczip,
+)
 from .common import read_table
+from .sql import ORACLE_SQL
 
 
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +58,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.repair_report(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placed_in_shards(read_table(spark, sf_dir, "documents"), shards=24)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_vptree_neighbours": op2_vptree_neighbours,
@@ -66,21 +81,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_packages": op8_warc_packages,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_pii": op10_pii,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_jump_shards": op12_jump_shards,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 
-# Base32 of a SHA-1: 32 characters of 5 bits, eight from each 10 hexadecimal digits.
-_OP8_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS f FROM p)
-SELECT page_id, payload_bytes,
-  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    CAST(((CAST('0x' || substr(x, (i // 8) * 10 + 1, 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INT)) & 31) AS INT) + 1, 1)), '') AS payload_digest,
-  CASE WHEN f IS NOT NULL AND f IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN f IS NOT NULL AND f IS DISTINCT FROM page_id THEN f END AS refers_to
-FROM d
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc_packages": _OP8_SQL}
+    return dict(ORACLE_SQL)
