@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 from samples import SF_SMALL
 
-TABLES = ["customer", "lineitem", "orders", "pages"]
+TABLES = ["conversations", "customer", "documents", "lineitem", "orders", "pages"]
 QUERIES = E.queries()
 SQL = E.oracle_sql()
 
