@@ -4,6 +4,15 @@ General: u -> v when both gave some product the same rating and v's mean
 helpfulness is strictly lower than u's (distinct over products).
 Product: row a -> row b inside one (product, rating) when b.h < a.h.
 
+Pairs are built inside (product, rating) groups by an equi-join on the group
+with the inequality as residual.  The pairs of one group are then the work of one
+task, so a group of more than ``BLOCK_MEMBERS`` members is cut: its members are
+placed in order of their value and dealt into blocks of that many; a cell joins
+one block of donors with one block of receivers.  Receivers stand below their
+donors, so only cells (i, j) with j <= i exist, and blocks of one single value
+have no cell with blocks of that value.  Each cell has a bounded number of
+pairs and is dealt out by itself, however large its group.
+
 The link lists are exports: their size is the number of pairs, which is
 what the caller asked for.  The rank computations do not need them in hot
 groups (see operators.general / operators.product).
@@ -11,68 +20,100 @@ groups (see operators.general / operators.product).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage, cut_lineage_keyed, layout_partitions
+from .joins import join_small
+from .positions import positions
 
-def _memberships(distinct: DataFrame, means: DataFrame, partitions: int | None = None) -> DataFrame:
-    """(product_id, rating, user_id, H) once per user in a (product, rating).
+# Members of a group that are joined in one piece; a cell has at most the square of it as pairs.
+BLOCK_MEMBERS = 4_000
 
-    With ``partitions`` the rows are laid out by (product, rating) first: the
-    duplicate removal and the pair self-join on the group then need no
-    further exchange (when the per-user means are small enough to be
-    broadcast; otherwise the join with them reshuffles)."""
-    m = distinct.select("product_id", "rating", "user_id")
-    if partitions:
-        m = m.repartition(partitions, "product_id", "rating")
-    extra = [c for c in means.columns if c not in ("user_id", "hq")]
-    return m.dropDuplicates().join(means.select("user_id", F.col("hq").alias("H"), *extra), "user_id")
+GROUP = ["product_id", "rating"]
 
 
 def memberships(distinct: DataFrame, means: DataFrame, partitions: int | None = None) -> DataFrame:
-    return _memberships(distinct, means, partitions)
+    """(product_id, rating, user_id, H) once per user in a (product, rating),
+    written in a hash layout by group: sizes and pairs of groups need no further
+    exchange.  ``means`` may carry a ``uid`` column, which then is the user_id."""
+    n = layout_partitions(distinct.sparkSession, partitions)
+    user = F.col("uid") if "uid" in means.columns else F.col("user_id")
+    joined = distinct.join(means, "user_id").select(*GROUP, user.alias("user_id"), means["hq"].alias("H"))
+    return cut_lineage_keyed(joined.repartition(n, *GROUP).dropDuplicates(), GROUP, n, prepartitioned=True)
+
+
+def _below(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    a = a.select(*on, F.col("user_id").alias("src"), F.col("H").alias("_hs"))
+    b = b.select(*on, F.col("user_id").alias("dst"), F.col("H").alias("_hd"))
+    return a.join(b, on).filter(F.col("_hd") < F.col("_hs")).select("src", "dst")
+
+
+def group_sizes(members: DataFrame) -> DataFrame:
+    return members.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def block_cells(members: DataFrame, block_members: int, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members with their block ``_b``, cells (group, _i, _j)) of large groups."""
+    n = layout_partitions(members.sparkSession, partitions)
+    placed = positions(members.withColumn("_g", F.struct(*GROUP)), [F.col("H").asc(), F.col("user_id").asc()], group="_g",
+                       partitions=n, name="_at").drop("_g")
+    block = F.floor((F.col("_at") - 1) / F.lit(block_members)).cast("long")
+    placed = cut_lineage_keyed(placed.select(*GROUP, "user_id", "H", block.alias("_b")), [*GROUP, "_b"], n)
+    ends = placed.groupBy(*GROUP, "_b").agg(F.min("H").alias("_lo"), F.max("H").alias("_hi"))
+    # a block of one value reaches the blocks before the first that starts with that value
+    first = F.min("_b").over(Window.partitionBy(*GROUP, "_lo"))
+    reach = F.when(F.col("_lo") < F.col("_hi"), F.col("_b")).otherwise(first - 1)
+    cells = ends.withColumn("_reach", reach).filter("_reach >= 0").select(
+        *GROUP, F.col("_b").alias("_i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_reach"))).alias("_j")
+    )
+    return placed, cells
+
+
+def block_pairs(members: DataFrame, block_members: int = BLOCK_MEMBERS, partitions: int | None = None) -> DataFrame:
+    """(src, dst) of every pair in the groups of ``members``, cell by cell."""
+    n = layout_partitions(members.sparkSession, partitions)
+    placed, cells = block_cells(members, block_members, n)
+    on = [*GROUP, "_i", "_j"]
+    donors = placed.withColumnRenamed("_b", "_i").join(cells, [*GROUP, "_i"]).repartition(n, *on)
+    receivers = placed.withColumnRenamed("_b", "_j").join(cells, [*GROUP, "_j"]).repartition(n, *on)
+    return _below(donors, receivers, on)
 
 
-def pairs_within(m: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Distinct (src, dst) over member pairs of one (product, rating) group
-    with the receiver's mean strictly lower.  Equi-join on the group with the
-    inequality as residual; duplicates across groups removed once.
+def pairs_within(members: DataFrame, partitions: int | None = None, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """(src, dst) of every pair of a group with the receiver's H strictly
+    lower, repeated for each group the pair shares.  ``members`` (from
+    ``memberships``, or any lineage cut) is read several times."""
+    large = cut_lineage(group_sizes(members).filter(F.col("_n") > block_members).select(*GROUP))
+    if large.isEmpty():
+        return _below(members, members, GROUP)
+    small = join_small(members, large, GROUP, "left_anti")
+    pairs = block_pairs(join_small(members, large, GROUP, "left_semi"), block_members, partitions)
+    return _below(small, small, GROUP).unionByName(pairs)
 
-    With ``partitions`` the pairs are hash-partitioned by ``src`` before the
-    duplicate removal, which that layout already satisfies: the result comes
-    out laid out by source in one shuffle."""
-    a = m.select("product_id", "rating", F.col("user_id").alias("src"), F.col("H").alias("Hs"))
-    b = m.select("product_id", "rating", F.col("user_id").alias("dst"), F.col("H").alias("Hd"))
-    pairs = a.join(b, ["product_id", "rating"]).filter(F.col("Hd") < F.col("Hs")).select("src", "dst")
-    if partitions:
-        pairs = pairs.repartition(partitions, "src")
-    return pairs.dropDuplicates()
 
+def distinct_pairs(pairs: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Duplicates across groups removed once.  With ``partitions`` the pairs are
+    hash-partitioned by ``src`` first, which the removal needs no more: the
+    result comes out laid out by source in one shuffle."""
+    return (pairs.repartition(partitions, "src") if partitions else pairs).dropDuplicates()
 
-def general_link_pairs(distinct: DataFrame, means: DataFrame) -> DataFrame:
+
+def general_link_pairs(distinct: DataFrame, means: DataFrame, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """All General links: distinct (src, dst) with src's mean strictly above
     dst's.  This is the link export; its size is the number of links.  The
     rank computation does not list pairs of heavy groups (general_hot).
     """
-    return pairs_within(_memberships(distinct, means))
-
+    return distinct_pairs(pairs_within(memberships(distinct, means), block_members=block_members))
 
-def general_out_degree(links: DataFrame) -> DataFrame:
-    return links.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
 
-
-def product_link_pairs(rows: DataFrame) -> DataFrame:
+def product_link_pairs(rows: DataFrame, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """Distinct (src, dst) users over row pairs of one (product, rating)
     with strictly lower h on the receiving row.  Two rows of one user in a
     product are different rows, so such a user can link to itself."""
-    a = rows.select("product_id", "rating", F.col("user_id").alias("src"), F.col("hq").alias("hs"))
-    b = rows.select("product_id", "rating", F.col("user_id").alias("dst"), F.col("hq").alias("hd"))
-    return (
-        a.join(b, ["product_id", "rating"])
-        .filter(F.col("hd") < F.col("hs"))
-        .select("src", "dst")
-        .dropDuplicates()
-    )
+    n = layout_partitions(rows.sparkSession)
+    members = rows.select(*GROUP, "user_id", F.col("hq").alias("H")).repartition(n, *GROUP)
+    return distinct_pairs(pairs_within(cut_lineage_keyed(members, GROUP, n, prepartitioned=True), n, block_members))
 
 
 def product_links_after(reviews: DataFrame, lam: float, iters: int, partitions: int | None = None) -> DataFrame:
@@ -83,9 +124,12 @@ def product_links_after(reviews: DataFrame, lam: float, iters: int, partitions:
     return product_link_pairs(product_iterations(reviews, lam, iters, partitions))
 
 
-def general_links(reviews: DataFrame) -> DataFrame:
+def general_links(reviews: DataFrame, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """All General links (src, dst) of a review table."""
     from .helpfulness import distinct_reviews, user_means
 
-    d = distinct_reviews(reviews)
-    return general_link_pairs(d, user_means(d))
+    d = distinct_reviews(reviews).persist()   # read by the means and the memberships
+    try:
+        return general_link_pairs(d, user_means(d).select("user_id", "hq"), block_members)
+    finally:
+        d.unpersist()   # the memberships are written

@@ -4,9 +4,10 @@
 puts every row of a group into one task.  Here the rows are range-partitioned
 on the order instead; each task numbers its own sorted slice, and a slice's
 offset is the number of rows of the same group in earlier slices.  The
-offset table has one row per (slice, group) pair, i.e. it is bounded by the
-number of shuffle partitions times the groups a slice spans, so it is safe
-to broadcast.
+offset table has one row per (slice, group) pair.  It is broadcast if its
+measured size allows it (many small groups make it as long as the groups are
+many); otherwise it is joined by a shuffle, in which a slice's rows of one group
+stay together and are no more than a slice.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .joins import join_small
 
 _LOCAL_BITS = 33   # monotonically_increasing_id = partition id << 33 | index
 
@@ -23,7 +25,7 @@ def positions(df: DataFrame, order: list[Column], group: str | None = None, part
               name: str = "position") -> DataFrame:
     """Adds ``name`` = 1-based position of each row within ``group`` (or the
     whole frame) under ``order``, which must be a total order (add a unique
-    tie-breaker).  The range-partitioned rows are checkpointed once."""
+    tie-breaker).  The range-partitioned rows are written once."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = ([F.col(group).asc()] if group else []) + order
@@ -46,6 +48,6 @@ def positions(df: DataFrame, order: list[Column], group: str | None = None, part
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).drop("_n")
-    out = sliced.join(F.broadcast(offsets), gcols)
+    out = join_small(sliced, offsets, gcols)
     pos = F.col("_off") + F.col("_local") - F.col("_first") + 1
     return out.withColumn(name, pos.cast("long")).drop("_slice", "_local", "_off", "_first")

@@ -27,10 +27,15 @@ iteration runs inside the same partitions without any exchange; the only
 shuffle after loading is the final mean per user.
 
 Hot products (more than ``hot_rows`` reviews) would make one task of that
-plan hold a whole product.  Their rows take a second path: identical h
-values inside a (product, rating) are first aggregated to levels, and E, N,
-P come from ``suffix.strict_above``, which spreads a key over value buckets.
-Rows of hot products are reshuffled every iteration, the others never.
+plan hold a whole product.  Their rows take a second path, on levels: rows of
+one (product, rating, h) receive the same, so after the first iteration they
+share their h for good.  The state of the second path is therefore one row per
+level with its number of rows, E, N and P are sums over levels, cut into value
+ranges by ``suffix.RangeLayout`` (built once, kept over the iterations), and the
+rows learn their level's h by one join at the end.
+
+A trace costs no shuffle of its own: rows (or levels) carry the h of every
+iteration so far, and one shuffle by user averages all iterations.
 """
 
 from __future__ import annotations
@@ -39,18 +44,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dequantize, quantize
-from ..session import cut_lineage, cut_lineage_keyed
+from ..session import cut_lineage, cut_lineage_keyed, discard, layout_partitions
+from .helpfulness import exact_mean, exact_sum, rounded_quotient
 from .joins import join_small
-from .suffix import strict_above
+from .suffix import RangeLayout, range_layout
 
 # Products with more reviews than this are ranked on the skew-safe path.
 HOT_PRODUCT_ROWS = 100_000
+GROUP = ["product_id", "rating"]
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return layout_partitions(df.sparkSession, partitions)
 
 
 def product_rows(reviews: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -90,36 +95,45 @@ def _update(h: F.Column, n: F.Column, p: F.Column) -> F.Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _clamp(h) + n) + p)
 
 
-def product_collapse(contrib: DataFrame) -> DataFrame:
+def _moved(n: F.Column, p: F.Column, h: F.Column) -> F.Column:
+    return quantize(_update(dequantize(h), n, p))
+
+
+def product_collapse(contrib: DataFrame, history: bool = False) -> DataFrame:
     """First iteration's update: one row per (product, user).
 
     The surviving rating and h are those of the first row by (unix_time,
     review_id, rating, h); contributions received by all rows are summed.
     Grouping keys include the product, so the hash layout by product
-    already satisfies it: no exchange.
+    already satisfies it: no exchange.  With ``history`` also the sum and
+    number of the merged rows' h (``s0``, ``n0``) and the array ``hist``.
     """
     order = F.struct("unix_time", "review_id", "rating", "hq")
     first = F.min_by(F.struct("rating", "hq"), order)
+    before = [exact_sum(F.col("hq")).alias("s0"), F.count(F.lit(1)).alias("n0")] if history else []
     agg = contrib.groupBy("product_id", "user_id").agg(
         first.alias("first"),
         F.sum("n").alias("n"),
         F.sum("p").alias("p"),
+        *before,
     )
-    return agg.select(
+    out = agg.select(
         "product_id",
         "user_id",
         F.col("first.rating").alias("rating"),
-        quantize(_update(dequantize(F.col("first.hq")), F.col("n"), F.col("p"))).alias("hq"),
+        _moved(F.col("n"), F.col("p"), F.col("first.hq")).alias("hq"),
+        *(["s0", "n0"] if history else []),
     )
+    return out.withColumn("hist", F.array("hq")) if history else out
 
 
 def product_step(rows: DataFrame, lam: float) -> DataFrame:
-    """Iterations after the first: one row per (product, user) already."""
+    """Iterations after the first: one row per (product, user) already.  A
+    ``hist`` column gets the new h appended."""
     c = product_contributions(rows, lam)
-    return c.select(
-        "product_id", "user_id", "rating",
-        quantize(_update(dequantize(F.col("hq")), F.col("n"), F.col("p"))).alias("hq"),
-    )
+    kept = [x for x in ("s0", "n0", "hist") if x in rows.columns]
+    out = c.select("product_id", "user_id", "rating", _moved(F.col("n"), F.col("p"), F.col("hq")).alias("hq"), *kept)
+    return out.withColumn("hist", F.concat("hist", F.array("hq"))) if "hist" in kept else out
 
 
 def split_hot_products(reviews: DataFrame, hot_rows: int | None) -> tuple[DataFrame, DataFrame | None]:
@@ -138,98 +152,128 @@ def split_hot_products(reviews: DataFrame, hot_rows: int | None) -> tuple[DataFr
     return join_small(reviews, hot, ["product_id"], "left_anti"), join_small(reviews, hot, ["product_id"], "left_semi")
 
 
-def hot_contributions(rows: DataFrame, lam: float, partitions: int | None = None) -> DataFrame:
-    """``product_contributions`` for rows of hot products, without a
-    single-task window: per (product, rating, h) level, E counts rows on
-    lower levels and N, P sum the shares of higher levels."""
-    keys = ["product_id", "rating"]
-    levels = rows.groupBy(*keys, "hq").agg(F.count(F.lit(1)).alias("k"))
-    counted = strict_above(levels, keys, "hq", ["k"], partitions)
-    e = (F.col("total_k") - F.col("above_k") - F.col("k")).cast("long")
-    shares = counted.select(*keys, "hq", "k", e.alias("e")).withColumn(
+def level_contributions(levels: DataFrame, layout: RangeLayout, lam: float) -> DataFrame:
+    """Adds ``e``, ``c``, ``n`` and ``p`` to levels (product_id, rating, hq, k
+    rows): E counts rows on lower levels; N and P sum the shares of the rows on
+    higher ones.  Levels of equal h count as one.  One shuffle by range."""
+    counted = layout.above(layout.place(levels, "hq"), "hq", ["k"])
+    e = (F.col("total_k") - F.col("upto_k")).cast("long")
+    shared = counted.select(*levels.columns, "_b", e.alias("e")).withColumn(
         "c",
         F.when(F.col("e") > 0, dequantize(F.col("hq")) / (F.col("e") * F.lit(float(lam)))).otherwise(F.lit(0.0)),
-    ).select(
-        *keys, "hq", "e", "c",
-        (F.col("k") * F.least(F.col("c"), F.lit(0.0))).alias("cn"),
-        (F.col("k") * F.greatest(F.col("c"), F.lit(0.0))).alias("cp"),
-    )
-    summed = strict_above(shares, keys, "hq", ["cn", "cp"], partitions).select(
-        *keys, "hq", "e", "c", F.col("above_cn").alias("n"), F.col("above_cp").alias("p")
+    ).withColumn("cn", F.col("k") * F.least(F.col("c"), F.lit(0.0))).withColumn("cp", F.col("k") * F.greatest(F.col("c"), F.lit(0.0)))
+    summed = layout.above(shared, "hq", ["cn", "cp"])
+    return summed.select(*levels.columns, "e", "c", F.col("above_cn").alias("n"), F.col("above_cp").alias("p"))
+
+
+def _levels(rows: DataFrame, *columns) -> DataFrame:
+    return rows.groupBy(*GROUP, *columns).agg(F.count(F.lit(1)).alias("k"))
+
+
+def hot_contributions(rows: DataFrame, lam: float, partitions: int | None = None, layout: RangeLayout | None = None) -> DataFrame:
+    """``product_contributions`` for rows of hot products, by levels."""
+    levels = cut_lineage(_levels(rows, "hq"))
+    layout = layout or range_layout(levels, GROUP, "hq", partitions)
+    found = level_contributions(levels, layout, lam).select(*GROUP, "hq", "e", "c", "n", "p")
+    return rows.join(found, [*GROUP, "hq"])
+
+
+def hot_iterations(reviews: DataFrame, lam: float, iters: int, partitions: int | None = None, history: bool = False) -> DataFrame:
+    """Rows of hot products after ``iters`` >= 1 iterations; ``reviews`` is a lineage cut."""
+    levels = cut_lineage(_levels(reviews, "hq"))
+    layout = range_layout(levels, GROUP, "hq", partitions)
+    found = level_contributions(levels, layout, lam).select(*GROUP, "hq", "n", "p")
+    # rows of a very frequent level are one key of this join: AQE splits them
+    merged = reviews.join(found, [*GROUP, "hq"])
+    rows = cut_lineage(product_collapse(merged, history))   # spreads a hot product by user
+    discard(levels)
+    state = _levels(rows, F.col("hq").alias("h1")).withColumn("hq", F.col("h1"))
+    if history:
+        state = state.withColumn("hist", F.array("hq"))
+    state = cut_lineage(state)
+    for i in range(2, iters + 1):
+        if layout.outgrown(state, "hq") if i % 4 == 0 else False:
+            layout.discard()
+            layout = range_layout(state, GROUP, "hq", partitions)
+        before = state
+        moved = level_contributions(state, layout, lam)
+        kept = ["hist"] if history else []
+        state = moved.select(*GROUP, "h1", "k", _moved(F.col("n"), F.col("p"), F.col("hq")).alias("hq"), *kept)
+        if history:
+            state = state.withColumn("hist", F.concat("hist", F.array("hq")))
+        state = cut_lineage(state)
+        discard(before)
+    layout.discard()
+    final = state.select(*GROUP, F.col("h1").alias("_h1"), F.col("hq").alias("_hq"), *([F.col("hist").alias("_hist")] if history else []))
+    on = [rows[g] == final[g] for g in GROUP] + [rows["hq"] == final["_h1"]]
+    out = rows.join(final, on).select(
+        rows["product_id"], "user_id", rows["rating"], F.col("_hq").alias("hq"), *(["s0", "n0", F.col("_hist").alias("hist")] if history else []),
     )
-    return rows.join(summed, keys + ["hq"])
+    return cut_lineage(out)
 
 
-def hot_step(rows: DataFrame, lam: float, first: bool, partitions: int | None = None) -> DataFrame:
-    c = hot_contributions(rows, lam, partitions)
-    if first:
-        return product_collapse(c)   # groupBy (product, user): spreads a hot product by user
-    return c.select(
-        "product_id", "user_id", "rating",
-        quantize(_update(dequantize(F.col("hq")), F.col("n"), F.col("p"))).alias("hq"),
-    )
+def user_mean_ranks(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("user_id").agg(exact_mean(F.col("hq")).alias("rank_q"))
 
 
-def user_mean_ranks(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("user_id").agg(F.round(F.avg("hq")).cast("long").alias("rank_q"))
+def user_mean_traces(rows: DataFrame, iters: int) -> DataFrame:
+    """(iter, user_id, rank_q) for all iterations, from rows with their history:
+    one aggregation by user."""
+    sums = [exact_sum(F.get("hist", F.lit(i))).alias(f"s{i + 1}") for i in range(iters)]
+    per_user = rows.groupBy("user_id").agg(
+        F.sum("s0").cast("decimal(38,0)").alias("s0"), F.sum("n0").alias("n0"), F.count(F.lit(1)).alias("n"), *sums,
+    )
+    means = [rounded_quotient(F.col("s0"), F.col("n0"))] + [rounded_quotient(F.col(f"s{i + 1}"), F.col("n")) for i in range(iters)]
+    return per_user.select("user_id", F.posexplode(F.array(*means)).alias("iter", "rank_q")).select("iter", "user_id", "rank_q")
 
 
-def _both(cold: DataFrame, hot: DataFrame | None) -> DataFrame:
-    cols = ["product_id", "user_id", "rating", "hq"]
-    return cold.select(*cols) if hot is None else cold.select(*cols).unionByName(hot.select(*cols))
+def _initial(reviews: DataFrame, history: bool) -> DataFrame:
+    """Rows before any iteration, in the form of those after one."""
+    rows = reviews.select("product_id", "user_id", "rating", "hq")
+    if not history:
+        return rows
+    none = F.array().cast("array<bigint>")
+    return rows.select("*", F.col("hq").cast("decimal(38,0)").alias("s0"), F.lit(1).cast("long").alias("n0"), none.alias("hist"))
 
 
 def product_iterations(reviews: DataFrame, lam: float = 20, iters: int = 10, partitions: int | None = None,
-                       checkpoint_every: int = 4, on_state=None, hot_rows: int | None = HOT_PRODUCT_ROWS,
-                       release: list | None = None) -> DataFrame:
+                       checkpoint_every: int = 4, hot_rows: int | None = HOT_PRODUCT_ROWS, history: bool = False) -> DataFrame:
     """Runs the iterations and returns the final rows
     (product_id, user_id, rating, hq).
 
-    Without ``on_state`` the iterations stay lazy between lineage cuts, so
-    the windows of several iterations run fused in one stage.  With
-    ``on_state(i, rows)`` (called for i = 0..iters; it must evaluate what it
-    needs before returning) each iteration's rows are persisted, which keeps
-    their hash layout, and the previous iteration's are released.
-    Every ``checkpoint_every`` iterations the rows are written to the shared
-    checkpoint folder (bucketed by product), which bounds the lineage an
-    executor loss can replay and the size of the fused plan (measured at
-    sf0.1: a cut every 3-4 iterations is fastest; longer fused chains of
-    windows get slower per iteration).
+    The iterations stay lazy between lineage cuts, so the windows of several
+    iterations run fused in one stage.  Every ``checkpoint_every`` iterations
+    the rows are written to the shared checkpoint folder (bucketed by product),
+    which bounds the lineage an executor loss can replay and the size of the
+    fused plan (measured at sf0.1: a cut every 3-4 iterations is fastest; longer
+    fused chains of windows get slower per iteration).  With ``history`` the
+    rows also have ``hist`` (h after every iteration), ``s0`` and ``n0`` (sum and
+    number of the initial h of the rows they were merged from).
     """
     if lam <= 0:
         raise ValueError("lambda must be positive")
     if iters < 0:
         raise ValueError("iterations must be >= 0")
+    if iters == 0:
+        return _initial(reviews, history)
     n = _partitions(reviews, partitions)
     cold_reviews, hot_reviews = split_hot_products(reviews, hot_rows)
-    rows = product_rows(cold_reviews, n)
-    hot = None
-    if hot_reviews is not None:
-        hot = cut_lineage(hot_reviews.select("product_id", "user_id", "rating", "hq", "unix_time", "review_id"))
-    held: list[DataFrame] = []
-    if on_state is not None:
-        rows = rows.persist()
-        held.append(rows)
-        on_state(0, _both(rows, hot))
+    rows, cut = product_rows(cold_reviews, n), None
     for i in range(1, iters + 1):
         if i == 1:
-            rows = product_collapse(product_contributions(rows, lam))
+            rows = product_collapse(product_contributions(rows, lam), history)
         else:
             rows = product_step(rows, lam)
-        if hot is not None:
-            # the hot path has several stages per iteration: cut every time
-            hot = cut_lineage(hot_step(hot, lam, first=(i == 1), partitions=partitions))
-        if i % max(1, checkpoint_every) == 0:
-            rows = cut_lineage_keyed(rows, ["product_id"], n)
-        if on_state is not None:
-            rows = rows.persist()
-            on_state(i, _both(rows, hot))
-            for old in held:
-                old.unpersist()
-            held = [rows]
-    if release is not None:
-        release.extend(held)   # released by the caller once its result is materialised
-    return _both(rows, hot)
+        if i % max(1, checkpoint_every) == 0 and i < iters:
+            rows = cut_lineage_keyed(rows, ["product_id"], n, prepartitioned=True)
+            discard(cut)
+            cut = rows
+    if hot_reviews is None:
+        return rows
+    base = cut_lineage(hot_reviews.select("product_id", "user_id", "rating", "hq", "unix_time", "review_id"))
+    hot = hot_iterations(base, lam, iters, partitions, history)
+    discard(base)
+    return rows.unionByName(hot)
 
 
 def product_rank(reviews: DataFrame, lam: float = 20, iters: int = 10, partitions: int | None = None,
@@ -237,24 +281,7 @@ def product_rank(reviews: DataFrame, lam: float = 20, iters: int = 10, partition
     """Final ranks ``(user_id, rank_q, rank)``: each user's mean h over the
     products they reviewed.  ``trace=True`` gives the mean after every
     iteration ``(iter, user_id, rank_q, rank)``."""
-    release: list[DataFrame] = []
-    if not trace:
-        rows = product_iterations(reviews, lam, iters, partitions, checkpoint_every, hot_rows=hot_rows, release=release)
-        r = cut_lineage(user_mean_ranks(rows))    # one row per user
-        for df in release:
-            df.unpersist()
-        return r.select("user_id", "rank_q", dequantize(F.col("rank_q")).alias("rank"))
-    snaps: list[DataFrame] = []
-
-    def keep(i: int, rows: DataFrame) -> None:
-        # evaluated now (this also fills the cache of the persisted rows)
-        snaps.append(cut_lineage(user_mean_ranks(rows).select(F.lit(i).alias("iter"), "user_id", "rank_q")))
-
-    product_iterations(reviews, lam, iters, partitions, checkpoint_every, on_state=keep, hot_rows=hot_rows,
-                       release=release)
-    for df in release:
-        df.unpersist()
-    out = snaps[0]
-    for s in snaps[1:]:
-        out = out.unionByName(s)
-    return out.select("iter", "user_id", "rank_q", dequantize(F.col("rank_q")).alias("rank"))
+    rows = product_iterations(reviews, lam, iters, partitions, checkpoint_every, hot_rows, history=trace)
+    ranks = user_mean_traces(rows, iters) if trace else user_mean_ranks(rows)
+    ranks = cut_lineage(ranks)    # one row per user (and iteration)
+    return ranks.select(*ranks.columns, dequantize(F.col("rank_q")).alias("rank"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import sys
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 if not __package__:  # run as a script: the package is two folders up
@@ -24,10 +25,10 @@ from pyspark.sql import functions as F
 from peerrank.operators.general import general_rank
 from peerrank.operators.links import general_links, product_link_pairs
 from peerrank.operators.product import product_rank, product_rows
-from peerrank.session import ENGINE_CONF, drop_scratch_tables, ensure_checkpoint_dir
+from peerrank.session import ENGINE_CONF, cut_lineage, ensure_checkpoint_dir, path_exists, scratch_run
 from peerrank.sources.reviews import load_reviews
 from peerrank.sources.runlog import runlog_lines
-from peerrank.sources.sinks import write_result
+from peerrank.sources.sinks import read_result, write_result
 
 MODES = ("General", "Product")
 
@@ -52,39 +53,40 @@ def rank_reviews(reviews: DataFrame, mode: str, lam: float = 20, iters: int = 10
 def rank_job(spark: SparkSession, mode: str, input_path: str, output_path: str, lam: float = 20, iters: int = 10,
              partitions: int | None = None, demo: bool = False, write_mode: str = "errorifexists",
              single_file: bool = False, drop_scratch: bool = False) -> JobResult:
+    """Ranks the reviews of ``input_path`` into ``output_path``.  With
+    ``drop_scratch`` the job's scratch data (a run of its own) is deleted at the
+    end, whatever happened, and the result's ranks are read from the output."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
     if write_mode in ("error", "errorifexists"):
         for target in [output_path, *([f"{output_path}_trace", f"{output_path}_runlog"] if demo else [])]:
-            if _exists(spark, target):
+            if path_exists(spark, target):
                 raise FileExistsError(f"output exists: {target}")
     ensure_checkpoint_dir(spark)
+    with scratch_run(spark) if drop_scratch else nullcontext():
+        result = _rank_job(spark, mode, input_path, output_path, lam, iters, partitions, demo, write_mode, single_file)
+    return JobResult(ranks=read_result(spark, output_path)) if drop_scratch else result
+
+
+def _rank_job(spark: SparkSession, mode: str, input_path: str, output_path: str, lam: float, iters: int,
+              partitions: int | None, demo: bool, write_mode: str, single_file: bool) -> JobResult:
     reviews = load_reviews(spark, input_path)
     trace = None
     if demo:
         trace = rank_reviews(reviews, mode, lam, iters, partitions, trace=True)
         ranks = trace.filter(F.col("iter") == iters).select("user_id", "rank_q", "rank")
         if mode == "General":
-            links = general_links(reviews)
+            links = cut_lineage(general_links(reviews))
         else:
-            links = product_link_pairs(product_rows(reviews, partitions))
+            links = cut_lineage(product_link_pairs(product_rows(reviews, partitions)))
         trace.write.mode(write_mode).partitionBy("iter").parquet(f"{output_path}_trace")
         runlog_lines(trace, links).write.mode(write_mode).text(f"{output_path}_runlog")
     else:
         ranks = rank_reviews(reviews, mode, lam, iters, partitions)
     write_result(ranks, output_path, mode=write_mode, single_file=single_file, float_text=True)
-    if drop_scratch:
-        # outputs are written; later reads of ``ranks``/``trace`` resolve afresh
-        drop_scratch_tables(spark)
-        return JobResult(ranks=spark.read.text(output_path), trace=None)
     return JobResult(ranks=ranks, trace=trace)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def main(argv: list[str]) -> int:
     if len(argv) < 7:
         print(__doc__, file=sys.stderr)

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,56 +67,126 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialise to the shared checkpoint folder.
+# Spark's own limit on the buckets of a table (spark.sql.sources.bucketing.maxBuckets).
+MAX_BUCKETS = 100_000
 
-    Survives executor loss (unlike a local checkpoint) and keeps the
-    output partitioning, so a hash layout on the key is not re-shuffled.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def layout_partitions(spark: SparkSession, partitions: int | None = None) -> int:
+    """Partitions of a layout that lineage cuts keep: ``partitions`` or the
+    session's shuffle partitions, and never more than a table may have buckets,
+    so that shuffles and buckets always agree."""
+    return min(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+
+
+# --- scratch data of a run ------------------------------------------------------
+#
+# Lineage cuts are tables and files in the shared checkpoint folder.  They belong
+# to a run: everything of a run lies in one folder and one database, both named
+# after it, so ending a run deletes its own scratch data and nothing else.
+
+_current_run: ContextVar[str | None] = ContextVar("peerrank_run", default=None)
+_session_runs: dict[str, str] = {}
+
+
+def run_id(spark: SparkSession) -> str:
+    """The run that cuts made now belong to: the innermost ``scratch_run``, or
+    one for the whole application."""
+    return _current_run.get() or _session_runs.setdefault(spark.sparkContext.applicationId, uuid.uuid4().hex)
+
+
+def run_folder(spark: SparkSession, run: str | None = None) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/peerrank-run-{run or run_id(spark)}"
+
+
+def _run_database(run: str) -> str:
+    return f"peerrank_run_{run}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Cuts made inside belong to a run of their own, dropped at the end
+    (also after an error).  Write results before leaving it."""
+    run = uuid.uuid4().hex
+    token = _current_run.set(run)
+    try:
+        yield run
+    finally:
+        _current_run.reset(token)
+        drop_scratch(spark, run)
 
-SCRATCH_DB = "peerrank_scratch"
-# Spark's own limit on the buckets of a table (spark.sql.sources.bucketing.maxBuckets).
-MAX_BUCKETS = 100_000
+
+def drop_scratch(spark: SparkSession, run: str | None = None) -> None:
+    """Deletes the tables and files of one run (the current one by default)."""
+    run = run or run_id(spark)
+    spark.sql(f"DROP DATABASE IF EXISTS {_run_database(run)} CASCADE")
+    delete_path(spark, run_folder(spark, run))
+
+
+def _located(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _located(spark, path)
+    return store.exists(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    store, target = _located(spark, path)
+    store.mkdirs(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    store, target = _located(spark, path)
+    store.delete(target, True)
+
+
+def discard(*cuts: DataFrame | None) -> None:
+    """Deletes superseded cuts: call it once what was computed from them has
+    itself been cut.  Frames that are no cuts are left alone."""
+    for cut in cuts:
+        where = getattr(cut, "_scratch", None)
+        if where is None:
+            continue
+        table, path = where
+        if table:
+            cut.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+        delete_path(cut.sparkSession, path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialises ``df`` as files of the run in the shared checkpoint folder
+    and reads them back: computed once, and no later stage depends on the
+    executors that computed it.  The planner knows the size of what it reads."""
+    spark = df.sparkSession
+    path = f"{run_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = (None, path)
+    return out
 
 
 def cut_lineage_keyed(df: DataFrame, keys: list[str], partitions: int, prepartitioned: bool = False) -> DataFrame:
     """Lineage cut that keeps a hash layout on ``keys``.
 
-    ``checkpoint()`` forgets how its rows were partitioned, so a later join
+    A plain cut forgets how its rows were partitioned, so a later join
     or window on the key would shuffle again.  A table bucketed on ``keys``
     (written under the shared checkpoint folder) is read back hash-partitioned
     on them, so co-partitioned joins and windows on the key need no exchange.
     Bucket ids use the same hash as shuffles: ``partitions`` must equal the
-    shuffle partitions of the joins that consume the table.
+    partitions of the joins that consume the table (``layout_partitions``).
     ``prepartitioned``: ``df`` is already hash-partitioned on ``keys`` into
     ``partitions`` (skips one shuffle).
     """
+    if partitions > MAX_BUCKETS:
+        raise ValueError(f"{partitions} partitions; a bucketed table has {MAX_BUCKETS} at most")
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{base}/tables'")
-    name = f"{SCRATCH_DB}.t_{uuid.uuid4().hex}"
+    folder, database, name = run_folder(spark), _run_database(run_id(spark)), f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}/tables'")
     laid_out = df if prepartitioned else df.repartition(partitions, *keys)
-    (
-        laid_out
-        .write.bucketBy(min(partitions, MAX_BUCKETS), *keys)
-        .option("path", f"{base}/tables/{name.split('.')[1]}")
-        .format("parquet")
-        .saveAsTable(name)
-    )
-    return spark.table(name)
-
-
-def drop_scratch_tables(spark: SparkSession) -> int:
-    """Drops the catalog entries of the scratch tables written by
-    ``cut_lineage_keyed`` (their files stay in the checkpoint folder, which
-    the cluster's own retention cleans).  Call it once the results that
-    read them have been written; returns the number of tables dropped."""
-    if not spark.catalog.databaseExists(SCRATCH_DB):
-        return 0
-    names = [t.name for t in spark.catalog.listTables(SCRATCH_DB)]
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {SCRATCH_DB}.{name}")
-    return len(names)
+    path = f"{folder}/tables/{name}"
+    laid_out.write.bucketBy(partitions, *keys).option("path", path).format("parquet").saveAsTable(f"{database}.{name}")
+    out = spark.table(f"{database}.{name}")
+    out._scratch = (f"{database}.{name}", path)
+    return out

@@ -2,17 +2,20 @@
 
 * result lines ``(user,rank)``: text, written by all tasks in parallel;
   ``single_file=True`` funnels into one task like the original output.
-* node / link JSON: one JSON record per line; the array form of the original
-  log is produced in bounded chunks by ``sources.runlog``.
+* node / link JSON: one array per iteration, as the original printed, written by
+  all tasks: the part files of an array hold its pieces in order, and joined byte
+  by byte they are the array.  No task or row holds more than its piece.
 * trace: parquet partitioned by iteration; a streaming reader can tail it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import strip_quotes
+from ..operators.joins import join_small
+from ..operators.positions import positions
 
 RESULT_LINE = r"^\((.*),([^,]*)\)$"
 
@@ -35,23 +38,29 @@ def write_result(ranks: DataFrame, path: str, mode: str = "errorifexists", singl
     out.write.mode(mode).text(path)
 
 
-def read_result(spark: SparkSession, path: str) -> DataFrame:
-    """Reads result lines back (all part files) as ``(user_id, rank)``."""
-    t = spark.read.text(path)
-    return t.select(
+def _result_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
+        "value",
+        F.col("value").rlike(RESULT_LINE).alias("_shaped"),
         F.regexp_extract("value", RESULT_LINE, 1).alias("user_id"),
-        F.regexp_extract("value", RESULT_LINE, 2).cast("double").alias("rank"),
+        F.expr(f"try_cast(regexp_extract(value, r'{RESULT_LINE}', 2) AS double)").alias("rank"),
     )
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
-                partition_by: list[str] | None = None) -> None:
-    w = df.write.mode(mode).format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if fmt == "csv":
-        w = w.option("header", True)
-    w.save(path)
+def read_result(spark: SparkSession, path: str) -> DataFrame:
+    """Reads result lines back (all part files) as ``(user_id, rank)``.  A line
+    that is none fails the job, naming it."""
+    rows = _result_rows(spark, path)
+    good = F.col("_shaped") & F.col("rank").isNotNull()
+    checked = F.when(good, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("malformed result line: "), F.col("value"))).cast("boolean"))
+    return rows.filter(checked).select("user_id", "rank")
+
+
+def read_result_quarantine(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good ``(user_id, rank)``, lines that are none)."""
+    rows = _result_rows(spark, path)
+    good = F.col("_shaped") & F.col("rank").isNotNull()
+    return rows.filter(good).select("user_id", "rank"), rows.filter(~good).select("value")
 
 
 def node_records(trace: DataFrame) -> DataFrame:
@@ -63,3 +72,58 @@ def link_records(links: DataFrame) -> DataFrame:
     return links.select(
         strip_quotes(F.col("src")).alias("source"), strip_quotes(F.col("dst")).alias("target")
     ).dropDuplicates()
+
+
+# --- arrays over many part files ------------------------------------------------
+
+
+def array_lines(records: DataFrame, order: list[str], group: str | None = None) -> DataFrame:
+    """One line per record, ``(group, position, value)``: in order of position
+    the lines of a group make up one JSON array of the other columns.  ``order``
+    must be a total order of the records of a group."""
+    fields = [c for c in records.columns if c != group]
+    by = group or "_array"
+    grouped = records if group else records.withColumn(by, F.lit(0))
+    placed = positions(grouped, [F.col(c).asc() for c in order], group=by)
+    sized = join_small(placed, placed.groupBy(by).agg(F.max("position").alias("_last")), [by])
+    value = F.concat(
+        F.when(F.col("position") == 1, F.lit("[")).otherwise(F.lit(",")), F.to_json(F.struct(*fields)),
+        F.when(F.col("position") == F.col("_last"), F.lit("]")).otherwise(F.lit("")),
+    )
+    return sized.select(*([group] if group else []), "position", value.alias("value"))
+
+
+def write_json_array(records: DataFrame, path: str, order: list[str], group: str | None = None,
+                     mode: str = "errorifexists", partitions: int | None = None) -> None:
+    """Writes one JSON array per group (folder ``group=value``), each as part
+    files that in order of their names join to the array.  A group without
+    records has no folder."""
+    lines = array_lines(records, order, group)
+    n = partitions or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [group] if group else []
+    dealt = lines.repartitionByRange(n, *keys, "position").sortWithinPartitions(*keys, "position").select("value", *keys)
+    writer = dealt.write.mode(mode)
+    (writer.partitionBy(group) if group else writer).text(path)
+
+
+def array_index(spark: SparkSession, path: str) -> DataFrame:
+    """Where each part stands in its array: ``(folder, part, start, bytes)``, so
+    that parts can be copied into one object, or a range be read, without
+    reading those before it.  A row per part file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
+    parts = files.select(
+        F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder"), F.regexp_extract("path", r"([^/]+)$", 1).alias("part"),
+        F.col("length").alias("bytes"),
+    )
+    before = Window.partitionBy("folder").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select("folder", "part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start"), "bytes")
+
+
+def read_json_array(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """Records of arrays written by ``write_json_array`` (columns of the DDL
+    ``record``, the text ``json``, and the group's column)."""
+    lines = spark.read.text(path)
+    # a line is [ or , before its record, and ] after the last
+    body = F.regexp_extract("value", r"^[\[,](\{.*\})\]?$", 1).alias("json")
+    keys = [c for c in lines.columns if c != "value"]
+    return lines.select(*keys, body).select("*", F.from_json("json", record, {"mode": "FAILFAST"}).alias("_r")).select(*keys, "json", "_r.*")
