@@ -1,5 +1,7 @@
 """Edge cases of the source data and of both modes, and brute-force checks."""
 
+import json
+import os
 import random
 
 import pytest
@@ -7,10 +9,13 @@ from pyspark.sql import functions as F
 
 import bruteforce as BF
 from peerrank.operators.general import general_graph, general_rank, named
+from peerrank.operators.helpfulness import exact_mean
+from peerrank.operators.partitions import heavy_keys
 from peerrank.operators.product import product_rank
 from peerrank.plans.job import rank_job, rank_reviews
+from peerrank.session import MAX_BUCKETS, cut_lineage_keyed, ensure_checkpoint_dir, layout_partitions, scratch_run
 from peerrank.sources.reviews import load_reviews, load_reviews_quarantine
-from peerrank.sources.sinks import read_result
+from peerrank.sources.sinks import array_index, read_json_array, read_result, read_result_quarantine, write_json_array, write_result
 
 HEADER = ",asin,helpful,overall,reviewerID,unixReviewTime\n"
 
@@ -186,10 +191,118 @@ def test_merged_row_start_above_one_meets_clamp_first(spark, tmp_out, hot_rows):
     close(got, BF.product(rows, 1, 1))
 
 
-def test_job_drops_scratch_tables(spark, tmp_out, data_path):
-    from peerrank.session import SCRATCH_DB
+def folder_entries(path):
+    return sorted(os.listdir(path)) if os.path.isdir(path) else []
 
-    out = tmp_out("result_drop")
-    res = rank_job(spark, "General", data_path("demo_reviews.csv"), out, 20, 3, 4, drop_scratch=True)
-    assert spark.catalog.listTables(SCRATCH_DB) == []
-    assert res.ranks.count() == 21 and read_result(spark, out).count() == 21
+
+def test_job_leaves_no_scratch_data_and_other_runs_alone(spark, tmp_out, data_path):
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    with scratch_run(spark) as other:
+        kept = cut_lineage_keyed(spark.range(10), ["id"], 2)
+        before = folder_entries(base)
+        out = tmp_out("result_drop")
+        res = rank_job(spark, "General", data_path("demo_reviews.csv"), out, 20, 3, 4, demo=True, drop_scratch=True)
+        assert folder_entries(base) == before
+        assert kept.count() == 10 and spark.catalog.databaseExists(f"peerrank_run_{other}")
+        assert res.ranks.count() == 21 and read_result(spark, out).count() == 21
+        assert spark.read.parquet(f"{out}_trace").count() == 4 * 21 and spark.read.text(f"{out}_runlog").count() > 0
+    assert f"peerrank-run-{other}" not in folder_entries(base)
+    assert not spark.catalog.databaseExists(f"peerrank_run_{other}")
+
+
+def test_scratch_goes_after_an_error_too(spark, tmp_out):
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = folder_entries(base)
+    with pytest.raises(Exception):
+        rank_job(spark, "Product", tmp_out("missing.csv"), tmp_out("no_result"), 20, 3, 4, drop_scratch=True)
+    assert folder_entries(base) == before
+
+
+def test_superseded_cuts_are_deleted(spark, data_path):
+    r = load_reviews(spark, data_path("demo_reviews.csv"))
+    with scratch_run(spark) as run:
+        general_rank(r, 20, 10, checkpoint_every=2)
+        left = spark.catalog.listTables(f"peerrank_run_{run}")
+        assert len(left) == 2, left   # the last state and the nodes' names
+
+
+def test_layouts_never_exceed_the_buckets_of_a_table(spark):
+    assert layout_partitions(spark, 1_000_000) == MAX_BUCKETS
+    with pytest.raises(ValueError, match="buckets|bucketed"):
+        cut_lineage_keyed(spark.range(1), ["id"], MAX_BUCKETS + 1)
+
+
+# --- exact means ----------------------------------------------------------------
+
+
+def test_means_are_exact_past_2_53_and_free_of_order(spark):
+    big = 2**53
+    values = {"a": [big + 1, 1, -big, big, 3], "b": [2**62, 2**62, 2**62 - 2], "c": [-(2**62)] * 3 + [1], "d": [1, 2], "e": [-1, -2], "f": [None]}
+    rows = [(k, v) for k, vs in values.items() for v in vs]
+
+    def want(vs):
+        vs = [v for v in vs if v is not None]
+        if not vs:
+            return None
+        q, r = divmod(2 * abs(sum(vs)) + len(vs), 2 * len(vs))
+        return q if sum(vs) >= 0 else -q
+
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "k string, v long").repartition(seed + 1)
+        got = {x.k: x.m for x in df.groupBy("k").agg(exact_mean(F.col("v")).alias("m")).collect()}
+        assert got == {k: want(vs) for k, vs in values.items()}
+    assert got["d"] == 2 and got["e"] == -2   # halves away from zero
+
+
+# --- results and arrays ---------------------------------------------------------
+
+
+def test_malformed_result_lines_fail_or_come_apart(spark, tmp_out):
+    path = tmp_out("lines")
+    good, bad = ["(A,0.5)", "(B, with comma,-1.0E-4)", "(,0.1)"], ["(C,0.2", "C,0.2)", "(D,x)", "", "(E,)"]
+    spark.createDataFrame([(x,) for x in good + bad], "value string").write.text(path)
+    rows, rest = read_result_quarantine(spark, path)
+    assert {(x.user_id, x["rank"]) for x in rows.collect()} == {("A", 0.5), ("B, with comma", -1e-4), ("", 0.1)}
+    assert sorted(x.value for x in rest.collect()) == sorted(bad)
+    with pytest.raises(Exception, match="malformed result line"):
+        read_result(spark, path).collect()
+
+
+def test_single_file_result(spark, tmp_out, data_path):
+    ranks = product_rank(load_reviews(spark, data_path("demo_reviews.csv")), 20, 2).repartition(5)
+    one, many = tmp_out("one"), tmp_out("many")
+    write_result(ranks, one, single_file=True)
+    write_result(ranks, many)
+    parts = lambda p: len([x for x in os.listdir(p) if x.startswith("part-")])
+    assert parts(one) == 1 and parts(many) > 1
+    assert {tuple(x) for x in read_result(spark, one).collect()} == {tuple(x) for x in read_result(spark, many).collect()}
+
+
+def test_json_array_is_one_array_over_its_parts(spark, tmp_out):
+    df = spark.range(500).select((F.col("id") % 3).alias("iter"), F.concat(F.lit('q"'), "id").alias("id"), (F.col("id") / 7).alias("rank"))
+    path = tmp_out("array")
+    write_json_array(df, path, ["id"], "iter", partitions=6)
+    joined = {}
+    for x in array_index(spark, path).orderBy("folder", "start").collect():
+        folder = x.folder.removeprefix("file:")
+        with open(os.path.join(folder, x.part), "rb") as f:
+            data = f.read()
+        assert len(data) == x.bytes and x.start == len(joined.get(folder, b""))
+        joined[folder] = joined.get(folder, b"") + data
+    arrays = {int(f[-1]): json.loads(data) for f, data in joined.items()}
+    want = {i: sorted(({"id": r.id, "rank": r["rank"]} for r in df.filter(F.col("iter") == i).collect()), key=lambda r: r["id"]) for i in range(3)}
+    assert arrays == want
+    assert len({x.folder for x in array_index(spark, path).collect()}) == 3 < array_index(spark, path).count()
+    back = read_json_array(spark, path, "id string, rank double")
+    assert {(r["iter"], r.id, r["rank"]) for r in back.collect()} == {tuple(r) for r in df.collect()}
+    with pytest.raises(Exception):
+        write_json_array(df, path, ["id"], "iter")
+
+
+def test_heavy_keys_are_exact_and_complete(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"))
+    got = {x.k: x.n_rows for x in heavy_keys(rows, "k", 0.01).collect()}
+    assert got == {"hot": 6667}
+    edge = spark.range(1_000).select((F.col("id") % 100).cast("string").alias("k"))
+    assert heavy_keys(edge, "k", 0.01).count() == 100 and heavy_keys(edge, "k", 0.0101).count() == 0

@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 import bruteforce as BF
 from peerrank.operators.general import general_graph, general_rank
+from peerrank.operators import suffix
+from peerrank.operators.general_hot import cost_model, split_groups
+from peerrank.operators.joins import join_small, memory_bytes
+from peerrank.operators.links import block_cells, block_pairs, general_links, product_link_pairs
 from peerrank.operators.positions import positions
-from peerrank.operators.product import product_rank
-from peerrank.operators.suffix import strict_above
+from peerrank.operators.product import product_rank, product_rows
+from peerrank.operators.suffix import range_layout, strict_above
+from peerrank.session import cut_lineage
 from peerrank.sources.reviews import load_reviews, reviews_from_tables
 from samples import SF_SMALL
 from test_edges import random_reviews, write_csv
@@ -31,7 +36,7 @@ def test_strict_above_matches_window(spark):
     rnd = random.Random(5)
     rows = [(k, v, rnd.randint(-5, 5)) for k in range(3) for v in rnd.sample(range(10_000), 300 if k == 0 else 20)]
     df = spark.createDataFrame(rows, "k int, o long, x long")
-    got = strict_above(df, ["k"], "o", ["x"], partitions=4, buckets=8)
+    got = strict_above(df, ["k"], "o", ["x"], partitions=4, target_rows=30)
     w = Window.partitionBy("k").orderBy(F.col("o").desc()).rowsBetween(Window.unboundedPreceding, -1)
     want = df.select("k", "o", F.coalesce(F.sum("x").over(w), F.lit(0)).alias("want"),
                      F.sum("x").over(Window.partitionBy("k")).alias("tot"))
@@ -47,7 +52,7 @@ def test_product_hot_path_equals_plain(small, hot_rows):
 @pytest.mark.parametrize("heavy", [2, 5])
 def test_general_heavy_path_equals_plain(small, heavy):
     plain = general_graph(small, heavy_users=None)
-    hot = general_graph(small, heavy_users=heavy)
+    hot = general_graph(small, heavy_users=heavy, heavy_plan="signatures")
     assert hot.heavy is not None
     assert qmap(plain.nodes, "deg") == qmap(hot.nodes, "deg")
     assert qmap(general_rank(small, 20, 3, graph=plain)) == qmap(general_rank(small, 20, 3, graph=hot))
@@ -57,7 +62,7 @@ def test_hot_paths_against_bruteforce(spark, tmp_out):
     rows = random_reviews(21, n=80, products=3, users=15)
     r = load_reviews(spark, write_csv(tmp_out("hot.csv"), rows))
     want_g = BF.general(rows, 20, 3)[0]
-    got_g = {u: v / 1e9 for u, v in qmap(general_rank(r, 20, 3, heavy_users=3)).items()}
+    got_g = {u: v / 1e9 for u, v in qmap(general_rank(r, 20, 3, heavy_users=3, heavy_plan="signatures")).items()}
     assert max(abs(got_g[u] - want_g[u]) for u in want_g) < 1e-6
     want_p = BF.product(rows, 20, 3)
     got_p = {u: v / 1e9 for u, v in qmap(product_rank(r, 20, 3, hot_rows=5)).items()}
@@ -91,4 +96,117 @@ def test_traces_on_skew_paths(small):
     assert trace_map(product_rank(small, 20, 3, trace=True, hot_rows=None)) == \
         trace_map(product_rank(small, 20, 3, trace=True, hot_rows=4))
     assert trace_map(general_rank(small, 20, 3, trace=True, heavy_users=None)) == \
-        trace_map(general_rank(small, 20, 3, trace=True, heavy_users=3))
+        trace_map(general_rank(small, 20, 3, trace=True, heavy_users=3, heavy_plan="signatures"))
+
+
+# --- block pairs ----------------------------------------------------------------
+
+
+def group_members(spark, n, values):
+    return spark.range(n).select(
+        F.lit("p").alias("product_id"), F.lit(5).alias("rating"), F.col("id").alias("user_id"), (F.col("id") * 7919 % values).alias("H"))
+
+
+@pytest.mark.parametrize("block", [1, 4, 1000])
+def test_block_pairs_equal_the_plain_join(small, block):
+    plain = {tuple(x) for x in general_links(small).collect()}
+    rows = general_links(small, block_members=block).collect()
+    assert {tuple(x) for x in rows} == plain and len(rows) == len(plain)
+    product = {tuple(x) for x in product_link_pairs(product_rows(small)).collect()}
+    assert {tuple(x) for x in product_link_pairs(product_rows(small), block_members=block).collect()} == product
+
+
+def test_a_group_of_50000_members_spreads_over_tasks(spark):
+    members = group_members(spark, 50_000, 50_000)
+    placed, cells = block_cells(members, 1_000, 8)
+    # members per block are bounded, and the cells (the work) are triangular
+    assert placed.groupBy("_b").count().agg(F.max("count")).first()[0] == 1_000
+    assert cells.count() == 50 * 51 // 2
+    dealt = cells.repartition(16, "product_id", "rating", "_i", "_j").groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 16 and max(x["count"] for x in dealt) < 2 * 1275 / 16
+    pairs = block_pairs(group_members(spark, 2_000, 1_999), 100, 8)
+    assert pairs.count() == 2_000 * 1_999 // 2 - 1   # two members share a value
+
+
+def test_equal_values_make_no_cells(spark):
+    _, cells = block_cells(group_members(spark, 3_000, 1), 100, 8)
+    assert cells.count() == 0
+    assert block_pairs(group_members(spark, 3_000, 2), 100, 8).count() == 1_500 * 1_500
+
+
+# --- signatures or pairs --------------------------------------------------------
+
+
+def test_cost_model_chooses_by_group(spark):
+    # group a: 400 users with two sets of groups and ten values; group b: everyone differs
+    a = [("a", 1, u, u % 10) for u in range(400)]
+    b = [("b", 1, u, u) for u in range(1000, 1040)] + [(f"c{u}", 1, u, u) for u in range(1000, 1040)] + [(f"c{u}", 1, u + 1, u + 1) for u in range(1000, 1039)]
+    members = cut_lineage(spark.createDataFrame(a + b, "product_id string, rating int, user_id long, H long"))
+    heavy = members.groupBy("product_id", "rating").count().filter("count > 1").drop("count")
+    by = {x.product_id: x for x in cost_model(members, heavy).collect()}
+    assert by["a"].by_signature and (by["a"].members, by["a"].levels, by["a"].sigs) == (400, 10, 1)
+    assert not by["b"].by_signature and by["b"].sigs >= 39
+    listed, signed = split_groups(members, 1)
+    assert {x.product_id for x in signed.select("product_id").distinct().collect()} == {"a"}
+    assert listed.count() + signed.count() == members.count()
+
+
+@pytest.mark.parametrize("plan", ["cost", "pairs"])
+def test_every_heavy_plan_gives_the_same_ranks(small, plan):
+    plain = qmap(general_rank(small, 20, 2, heavy_users=None))
+    assert qmap(general_rank(small, 20, 2, heavy_users=3, heavy_plan=plan)) == plain
+
+
+# --- range layout ---------------------------------------------------------------
+
+
+def test_layout_is_kept_while_values_move(spark):
+    rows = cut_lineage(spark.range(3_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 31 % 3_000).alias("o"), F.lit(1).alias("x")))
+    layout = range_layout(rows, ["k"], "o", 4, target_rows=100)
+    assert layout.bounds is not None
+    moved = cut_lineage(rows.withColumn("o", F.col("o") * F.col("o") % 1_000))   # other values, with ties
+    w = Window.partitionBy("k").orderBy(F.col("o").desc())
+    want = moved.select("k", "o", F.coalesce(F.sum("x").over(w.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("a"),
+                        F.sum("x").over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("u"))
+    got = layout.above(layout.place(moved, "o"), "o", ["x"]).select("k", "o", "above_x", "upto_x")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert not layout.outgrown(rows, "o")
+    assert layout.outgrown(rows.withColumn("o", F.lit(5)), "o")
+
+
+@pytest.mark.parametrize("target", [2, 7])
+def test_hot_products_in_many_buckets(small, monkeypatch, target):
+    monkeypatch.setattr(suffix, "TARGET_BUCKET_ROWS", target)
+    want = trace_map(product_rank(small, 20, 5, trace=True, hot_rows=None))
+    assert trace_map(product_rank(small, 20, 5, trace=True, hot_rows=4)) == want
+    heavy = qmap(general_rank(small, 20, 2, heavy_users=3, heavy_plan="signatures"))
+    assert heavy == qmap(general_rank(small, 20, 2, heavy_users=None))
+
+
+def test_jobs_of_the_hot_path(spark):
+    r = reviews_from_tables(spark, "/root/testdata/sf0.01")
+    spark.sparkContext.setJobGroup("hot", "hot products")
+    try:
+        product_rank(r, 20, 3, hot_rows=20).write.format("noop").mode("overwrite").save()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("hot"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 60, jobs
+
+
+# --- broadcasts by size ---------------------------------------------------------
+
+
+def test_broadcast_follows_the_measured_bytes(spark):
+    arrays = spark.range(100).select("id", F.array_repeat(F.col("id"), 1_000).alias("a"))
+    assert 100 * 8_000 <= memory_bytes(arrays) <= 100 * 8_200
+    texts = spark.range(10).select("id", F.repeat(F.lit("x"), 500).alias("t"))
+    assert 5_000 <= memory_bytes(texts) <= 6_000
+    big = spark.range(1_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = join_small(big, arrays, ["id"])._jdf.queryExecution().executedPlan().toString()
+        large = join_small(big, arrays, ["id"], max_bytes=100_000)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
