@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, is_cut
 
 # Largest table that is broadcast to every executor, by its size in memory.
 BROADCAST_MAX_BYTES = 64 << 20
@@ -40,8 +40,11 @@ def memory_bytes(df: DataFrame) -> int:
 def broadcast_if_small(small: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``small``, which must be a lineage cut, with a broadcast hint if its
     measured size allows it; without, joins shuffle it and AQE's skew handling
-    splits hot keys on the other side."""
-    return F.broadcast(small) if memory_bytes(small) <= max_bytes else small
+    splits hot keys on the other side.  A cut is measured once."""
+    known = getattr(small, "_memory_bytes", None)
+    if known is None:
+        known = small._memory_bytes = memory_bytes(small)
+    return F.broadcast(small) if known <= max_bytes else small
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -50,7 +53,9 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
     its bytes in memory are within ``max_bytes``; otherwise a shuffle join (AQE's
     skew handling splits hot keys on the big side).
 
-    ``small`` is materialised once (lineage cut) so measuring it does not
-    compute it twice.
+    Unless ``small`` is a lineage cut already, it is materialised once, so that
+    measuring it does not compute it twice.
     """
-    return big.join(broadcast_if_small(cut_lineage(small), max_bytes), on, how)
+    if not is_cut(small):
+        small = cut_lineage(small)
+    return big.join(broadcast_if_small(small, max_bytes), on, how)

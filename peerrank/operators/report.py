@@ -3,12 +3,15 @@ bands, user lookup and the graph export (nodes and links with ranks)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import band_colour, capitalised_key, leaderboard_label, node_size, rank_band
 from .positions import positions
 
+# Rows one task may hold for a top-k.
+TOP_IN_ONE_TASK = 100_000
+
 
 def leaderboard(trace: DataFrame, partitions: int | None = None) -> DataFrame:
     """Per iteration, users by rank descending (ties by user id):
@@ -26,10 +29,14 @@ def leaderboard(trace: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def top_users(ranks: DataFrame, k: int = 10) -> DataFrame:
-    """The k best users, by their position among all; k may be as large as the
-    table, no task gathers the k rows."""
-    ranked = positions(ranks, [F.col("rank_q").desc(), F.col("user_id").asc()])
-    return ranked.filter(F.col("position") <= k)
+    """The k best users with their position.  Up to ``TOP_IN_ONE_TASK`` users
+    are picked by a top-k sort (each task keeps k rows, one merges them); more
+    by the positions of all, and then no task gathers the k rows."""
+    order = [F.col("rank_q").desc(), F.col("user_id").asc()]
+    if k > TOP_IN_ONE_TASK:
+        return positions(ranks, order).filter(F.col("position") <= k)
+    best = ranks.orderBy(*order).limit(k)
+    return best.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 def rank_trajectory(board: DataFrame, iters: int) -> DataFrame:

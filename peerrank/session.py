@@ -142,6 +142,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
+def is_cut(df: DataFrame) -> bool:
+    """Whether ``df`` is a lineage cut as returned (not something computed from one)."""
+    return getattr(df, "_scratch", None) is not None
+
+
 def discard(*cuts: DataFrame | None) -> None:
     """Deletes superseded cuts: call it once what was computed from them has
     itself been cut.  Frames that are no cuts are left alone."""
