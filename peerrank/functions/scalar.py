@@ -21,6 +21,27 @@ def dequantize(q: Column) -> Column:
     return q / F.lit(float(SCALE))
 
 
+# Shares are summed as integers in units of 1e-15: sums then depend neither on the
+# order of the rows nor on how many partial sums they are made of, so layouts,
+# partition counts and the skew paths cannot change which links exist.  A share
+# beyond 2 in size takes any receiver to a clamp just as 2 does.
+SHARE_SCALE = 1e15
+SHARE_MOST = 2.0
+LANE_BITS = 24
+
+
+def share_lanes(share: Column) -> tuple[Column, Column]:
+    """A share as two integers, upper and lower, whose sums do not overflow."""
+    bounded = F.least(F.lit(SHARE_MOST), F.greatest(F.lit(-SHARE_MOST), share))
+    units = F.floor(bounded * F.lit(SHARE_SCALE) + F.lit(0.5)).cast("long")
+    return F.shiftright(units, LANE_BITS), units.bitwiseAND(F.lit((1 << LANE_BITS) - 1))
+
+
+def from_lanes(upper: Column, lower: Column) -> Column:
+    """The sum of shares whose lanes sum to ``upper`` and ``lower``."""
+    return (upper.cast("double") * F.lit(float(1 << LANE_BITS)) + lower.cast("double")) / F.lit(SHARE_SCALE)
+
+
 def rounded6(q: Column) -> Column:
     """1e-9 integer -> double with six decimals, rounded half up in the
     integer domain so every engine prints the same double."""

@@ -43,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import dequantize, quantize
+from ..functions.scalar import dequantize, from_lanes, quantize, share_lanes
 from ..session import cut_lineage, cut_lineage_keyed, discard, layout_partitions
 from .helpfulness import exact_mean, exact_sum, rounded_quotient
 from .joins import join_small
@@ -66,7 +66,7 @@ def product_rows(reviews: DataFrame, partitions: int | None = None) -> DataFrame
 
 def product_contributions(rows: DataFrame, lam: float) -> DataFrame:
     """Adds ``e`` (receivers), ``c`` (share per receiver), ``n`` and ``p``
-    (negative and positive sums received from rows with higher h)."""
+    (negative and positive sums received from rows with higher h) with their lanes."""
     # One sort per iteration: every frame below uses the same partitioning
     # and the same descending order, so they share a single Window pass.
     # Frames only grow from the top (UNBOUNDED PRECEDING), which Spark
@@ -76,15 +76,27 @@ def product_contributions(rows: DataFrame, lam: float) -> DataFrame:
     group_rows = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     above = w.rangeBetween(Window.unboundedPreceding, -1)   # strictly higher h
     e = (group_rows - at_or_above).cast("long")
-    with_c = rows.withColumn("e", e).withColumn(
-        "c",
-        F.when(F.col("e") > 0, dequantize(F.col("hq")) / (F.col("e") * F.lit(float(lam)))).otherwise(F.lit(0.0)),
-    )
-    return with_c.select(
-        "*",
-        F.coalesce(F.sum(F.least(F.col("c"), F.lit(0.0))).over(above), F.lit(0.0)).alias("n"),
-        F.coalesce(F.sum(F.greatest(F.col("c"), F.lit(0.0))).over(above), F.lit(0.0)).alias("p"),
-    )
+    with_c = rows.withColumn("e", e).withColumn("c", _share(lam))
+    sums = {name: F.coalesce(F.sum(lane).over(above), F.lit(0)) for name, lane in _lanes().items()}
+    summed = with_c.select("*", *[x.alias(name) for name, x in sums.items()])
+    return _with_sums(summed)
+
+
+def _share(lam: float) -> F.Column:
+    return F.when(F.col("e") > 0, dequantize(F.col("hq")) / (F.col("e") * F.lit(float(lam)))).otherwise(F.lit(0.0))
+
+
+def _lanes() -> dict[str, F.Column]:
+    """Lanes of the negative and positive part of a row's share."""
+    negative, positive = share_lanes(F.least(F.col("c"), F.lit(0.0))), share_lanes(F.greatest(F.col("c"), F.lit(0.0)))
+    return {"n_hi": negative[0], "n_lo": negative[1], "p_hi": positive[0], "p_lo": positive[1]}
+
+
+LANES = ["n_hi", "n_lo", "p_hi", "p_lo"]
+
+
+def _with_sums(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("n", from_lanes(F.col("n_hi"), F.col("n_lo"))).withColumn("p", from_lanes(F.col("p_hi"), F.col("p_lo")))
 
 
 def _clamp(x: F.Column) -> F.Column:
@@ -111,12 +123,11 @@ def product_collapse(contrib: DataFrame, history: bool = False) -> DataFrame:
     order = F.struct("unix_time", "review_id", "rating", "hq")
     first = F.min_by(F.struct("rating", "hq"), order)
     before = [exact_sum(F.col("hq")).alias("s0"), F.count(F.lit(1)).alias("n0")] if history else []
-    agg = contrib.groupBy("product_id", "user_id").agg(
+    agg = _with_sums(contrib.groupBy("product_id", "user_id").agg(
         first.alias("first"),
-        F.sum("n").alias("n"),
-        F.sum("p").alias("p"),
+        *[F.sum(lane).alias(lane) for lane in LANES],
         *before,
-    )
+    ))
     out = agg.select(
         "product_id",
         "user_id",
@@ -157,12 +168,10 @@ def level_contributions(levels: DataFrame, layout: RangeLayout, lam: float) -> D
     higher ones.  Levels of equal h count as one.  One shuffle by range."""
     counted = layout.above(layout.place(levels, "hq"), "hq", ["k"])
     e = (F.col("total_k") - F.col("upto_k")).cast("long")
-    shared = counted.select(*levels.columns, "_b", e.alias("e")).withColumn(
-        "c",
-        F.when(F.col("e") > 0, dequantize(F.col("hq")) / (F.col("e") * F.lit(float(lam)))).otherwise(F.lit(0.0)),
-    ).withColumn("cn", F.col("k") * F.least(F.col("c"), F.lit(0.0))).withColumn("cp", F.col("k") * F.greatest(F.col("c"), F.lit(0.0)))
-    summed = layout.above(shared, "hq", ["cn", "cp"])
-    return summed.select(*levels.columns, "e", "c", F.col("above_cn").alias("n"), F.col("above_cp").alias("p"))
+    shared = counted.select(*levels.columns, "_b", e.alias("e")).withColumn("c", _share(lam))
+    lanes = shared.select("*", *[(F.col("k") * lane).alias(name) for name, lane in _lanes().items()])
+    summed = layout.above(lanes, "hq", LANES)
+    return _with_sums(summed.select(*levels.columns, "e", "c", *[F.col(f"above_{x}").alias(x) for x in LANES]))
 
 
 def _levels(rows: DataFrame, *columns) -> DataFrame:
@@ -173,7 +182,7 @@ def hot_contributions(rows: DataFrame, lam: float, partitions: int | None = None
     """``product_contributions`` for rows of hot products, by levels."""
     levels = cut_lineage(_levels(rows, "hq"))
     layout = layout or range_layout(levels, GROUP, "hq", partitions)
-    found = level_contributions(levels, layout, lam).select(*GROUP, "hq", "e", "c", "n", "p")
+    found = level_contributions(levels, layout, lam).select(*GROUP, "hq", "e", "c", "n", "p", *LANES)
     return rows.join(found, [*GROUP, "hq"])
 
 
@@ -181,7 +190,7 @@ def hot_iterations(reviews: DataFrame, lam: float, iters: int, partitions: int |
     """Rows of hot products after ``iters`` >= 1 iterations; ``reviews`` is a lineage cut."""
     levels = cut_lineage(_levels(reviews, "hq"))
     layout = range_layout(levels, GROUP, "hq", partitions)
-    found = level_contributions(levels, layout, lam).select(*GROUP, "hq", "n", "p")
+    found = level_contributions(levels, layout, lam).select(*GROUP, "hq", *LANES)
     # rows of a very frequent level are one key of this join: AQE splits them
     merged = reviews.join(found, [*GROUP, "hq"])
     rows = cut_lineage(product_collapse(merged, history))   # spreads a hot product by user

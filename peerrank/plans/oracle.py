@@ -28,6 +28,11 @@ def h9(q: str) -> str:
     return f"(CAST({q} AS double) / 1e9)"
 
 
+def share_sum(x: str) -> str:
+    """Sum of shares in integer units of 1e-15, as in the engine."""
+    return f"sum(CAST(floor(({x}) * 1e15 + 0.5) AS hugeint))"
+
+
 def with_ctes(ctes: list[tuple[str, str]], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n" + body
 
@@ -47,7 +52,7 @@ def general_ctes(lam: float, iters: int) -> list[tuple[str, str]]:
         ("g0", "SELECT m.user_id, m.hq AS rq, coalesce(deg.deg, 0) AS deg FROM m LEFT JOIN deg ON m.user_id = deg.src"),
     ]
     for i in range(1, iters + 1):
-        ctes.append((f"a{i}", f"SELECT l.dst, sum(abs({h9('g.rq')}) / (g.deg * {_lam(lam)})) AS add "
+        ctes.append((f"a{i}", f"SELECT l.dst, CAST({share_sum(f"abs({h9('g.rq')}) / (g.deg * {_lam(lam)})")} AS double) / 1e15 AS add "
                               f"FROM links l JOIN g{i-1} g ON l.src = g.user_id WHERE g.deg > 0 GROUP BY l.dst"))
         upd = q9(f"least(1.0, {h9('g.rq')} + coalesce(a.add, 0.0))")
         ctes.append((f"g{i}", f"SELECT g.user_id, {upd} AS rq, g.deg "
@@ -63,8 +68,8 @@ def product_ctes(lam: float, iters: int) -> list[tuple[str, str]]:
                               f"(PARTITION BY product_id, rating ORDER BY hq DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e "
                               f"FROM {prev}"))
         ctes.append((f"c{i}", f"SELECT *, CASE WHEN e > 0 THEN {h9('hq')} / (e * {_lam(lam)}) ELSE 0.0 END AS c FROM w{i}"))
-        ctes.append((f"x{i}", f"SELECT *, coalesce(sum(least(c, 0.0)) OVER wd, 0.0) AS n, "
-                              f"coalesce(sum(greatest(c, 0.0)) OVER wd, 0.0) AS p FROM c{i} "
+        ctes.append((f"x{i}", f"SELECT *, CAST(coalesce({share_sum('least(c, 0.0)')} OVER wd, 0) AS double) / 1e15 AS n, "
+                              f"CAST(coalesce({share_sum('greatest(c, 0.0)')} OVER wd, 0) AS double) / 1e15 AS p FROM c{i} "
                               f"WINDOW wd AS (PARTITION BY product_id, rating ORDER BY hq DESC "
                               f"RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
         if i == 1:

@@ -220,3 +220,24 @@ def test_broadcast_follows_the_measured_bytes(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
+
+
+def test_sums_of_shares_do_not_depend_on_path_or_order(spark, tmp_out):
+    # many donors with shares that have no exact binary form, at every threshold and partition count
+    rows = [(i, "P", f"u{i}", 1 + i % 2, (i * 7) % 11, 11, i) for i in range(400)] + [(1000 + i, "Q", f"u{i % 90}", 1, i % 3, 7, i) for i in range(300)]
+    r = load_reviews(spark, write_csv(tmp_out("order.csv"), rows)).cache()
+    want = qmap(product_rank(r, 3, 4, hot_rows=None, partitions=1))
+    assert qmap(product_rank(r.orderBy(F.rand(5)), 3, 4, hot_rows=100, partitions=5)) == want
+    general = qmap(general_rank(r, 3, 4, heavy_users=None, partitions=1))
+    assert qmap(general_rank(r.orderBy(F.rand(6)), 3, 4, heavy_users=50, heavy_plan="signatures", partitions=5)) == general
+
+
+def test_shares_beyond_the_clamp(spark, tmp_out):
+    # top > all: a first h of 199 gives a share far above 2, which saturates its receivers as 2 does
+    rows = [(1, "P", "A", 1, 1000, 10, 1), (2, "P", "B", 1, 0, 2, 2), (3, "P", "C", 1, 1, 4, 3), (4, "P", "D", 1, -900, 3, 4), (5, "P", "E", 1, -901, 3, 5)]
+    r = load_reviews(spark, write_csv(tmp_out("beyond.csv"), rows))
+    for iters in (1, 2):
+        want = BF.product(rows, 1, iters)
+        for hot in (None, 2):
+            got = {u: v / 1e9 for u, v in qmap(product_rank(r, 1, iters, hot_rows=hot)).items()}
+            assert max(abs(got[u] - want[u]) for u in want) < 1e-6
