@@ -3,7 +3,9 @@
 Only DataFrame functions.  A text goes through each pattern twice (once for
 the matches, once for the pieces between them) and only if a cheap necessary
 condition of the pattern holds.  Positions are running sums of the lengths of
-pieces and matches, in code points.
+pieces and matches, in code points.  Matches are walked in short runs and
+context is cut from short pieces, so that time grows with the text and its
+spans, not with their product.
 
 Kinds: ``email``, ``ip`` (every part at most 255), ``card`` (12 to 19 digits,
 Luhn), ``phone`` (9 to 15 digits) and ``iban`` (15 to 34 characters, mod 97).
@@ -24,11 +26,15 @@ kept by ``with_spans`` (which adds one column, ``spans_column``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RUN = 64  # consecutive matches that are walked together
+PIECE = 1024  # code points of the pieces from which context is cut
+
 # The patterns' character classes.  ``++`` never gives back what
 # it took, which changes no match here (what follows each class is not in it)
 # and keeps the matcher iterative on very long runs.  An email can start only
@@ -152,38 +158,77 @@ def kind_spans(text: Column, kind: Kind, rank: int, window: int) -> Column:
             F.when(z["m"].isNotNull(), kind.size(z["m"], z["a"])).alias("size"),
         ),
     )
-    empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,score:double,ok:boolean>>")
-    walked = F.aggregate(
-        F.filter(lengths, lambda z: z["value"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("out")),
-        lambda acc, z: F.struct(
-            (acc["at"] + z["gap"] + F.length(z["value"])).alias("at"),
-            F.when(_stands(acc, z), acc["at"] + z["gap"] + z["size"]).otherwise(acc["free"]).alias("free"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + z["gap"]).alias("start"),
-                        F.lit(rank).alias("rank"),
-                        F.lit(kind.name).alias("kind"),
-                        (acc["at"] + z["gap"] + F.coalesce(z["size"], F.lit(0))).alias("end"),
-                        F.lit(kind.base_score).alias("score"),
-                        _stands(acc, z).alias("ok"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-    )["out"]
-    scored = F.transform(
+    none = F.array().cast("array<struct<start:int,end:int,ok:boolean>>")
+    states = F.array().cast("array<struct<at:int,free:int>>")
+
+    def after(acc: Column, z: Column) -> tuple[Column, Column]:
+        start = acc["at"] + z["gap"]
+        return (
+            (start + F.length(z["value"])).alias("at"),
+            F.when(_stands(acc, z), start + z["size"]).otherwise(acc["free"]).alias("free"),
+        )
+
+    def over_run(acc: Column, run: Column) -> Column:
+        before = F.struct(acc["at"].alias("at"), acc["free"].alias("free"))
+        passed = F.aggregate(run, before, lambda x, z: F.struct(*after(x, z)))
+        return _with_value(passed, lambda x: F.struct(
+            x["at"].alias("at"), x["free"].alias("free"), F.concat(acc["befores"], F.array(before)).alias("befores")
+        ))
+
+    def spans_of(run: Column, before: Column) -> Column:
+        first = F.struct(before["at"].alias("at"), before["free"].alias("free"), none.alias("out"))
+        return F.aggregate(run, first, lambda x, z: F.struct(*after(x, z), F.concat(x["out"], F.array(F.struct(
+            (x["at"] + z["gap"]).alias("start"), (x["at"] + z["gap"] + F.coalesce(z["size"], F.lit(0))).alias("end"),
+            _stands(x, z).alias("ok"),
+        ))).alias("out")))["out"]
+
+    # an accumulator is copied whole at each step, so none may grow with the spans:
+    # first the state before each run of matches, then each run's spans by itself
+    nil = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), states.alias("befores"))
+    found = F.filter(lengths, lambda z: z["value"].isNotNull())
+    walked = _with_value(_runs(found), lambda runs: F.flatten(
+        F.zip_with(runs, F.aggregate(runs, nil, over_run)["befores"], spans_of)
+    ))
+    scored = _with_value(_pieces(text, window), lambda cut: F.transform(
         F.filter(walked, lambda s: s["ok"]),
         lambda s: F.struct(
-            s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"),
-            _context_score(text, s, kind, window).alias("score"),
+            s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), s["end"].alias("end"),
+            _context_score(cut, s, kind, window).alias("score"),
         ),
-    )
+    ))
     possible = F.contains(text, F.lit(kind.possible)) if kind.literal else text.rlike(kind.possible)
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,score:double>>")
-    return F.when(possible, scored).otherwise(none)
+    nothing = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,score:double>>")
+    return F.when(possible, scored).otherwise(nothing)
+
+
+def _with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once (a lambda's body computes
+    what it names from outside anew for each element)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _runs(found: Column) -> Column:
+    """``found`` in consecutive runs of ``RUN`` elements."""
+    return _with_value(found, lambda a: F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(a) / RUN).cast("int")), lambda i: F.slice(a, i * RUN + 1, RUN)
+    ))
+
+
+def _pieces(text: Column, window: int) -> Column:
+    """``text`` in consecutive pieces of ``_piece_size(window)`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_piece_size(window)}}}"), F.lit(0))
+
+
+def _piece_size(window: int) -> int:
+    return max(PIECE, window)
+
+
+def _cut(pieces: Column, at: Column, length: Column, window: int) -> Column:
+    """``length`` (at most ``window``) code points of the text from ``at``."""
+    size = _piece_size(window)
+    nth = F.floor(at / size).cast("int")
+    two = F.concat(*[F.coalesce(F.get(pieces, nth + i), F.lit("")) for i in (0, 1)])
+    return F.substring(two, at - nth * size + 1, length)
 
 
 def _stands(acc: Column, z: Column) -> Column:
@@ -191,10 +236,10 @@ def _stands(acc: Column, z: Column) -> Column:
     return z["size"].isNotNull() & (acc["at"] + z["gap"] >= acc["free"])
 
 
-def _context_score(text: Column, span: Column, kind: Kind, window: int) -> Column:
+def _context_score(pieces: Column, span: Column, kind: Kind, window: int) -> Column:
     first = F.greatest(span["start"] - window, F.lit(0))
-    before = F.substring(text, first + 1, span["start"] - first)
-    after = F.substring(text, span["end"] + 1, F.lit(window))
+    before = _cut(pieces, first, span["start"] - first, window)
+    after = _cut(pieces, span["end"], F.lit(window), window)
     near = F.lower(F.concat_ws(" ", before, after))
     up = F.when(near.rlike(rf"\b(?:{kind.context})"), 0.1).otherwise(0.0)
     down = F.when(near.rlike(rf"\b(?:{kind.against})\b"), 0.3).otherwise(0.0)
