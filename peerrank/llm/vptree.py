@@ -186,7 +186,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float =
         F.explode(F.sequence(start[dim], start[dim] + count[dim] - 1)).alias("shard"),
         F.lit(True).alias("is_query"), "vec_id", "embedding",
     )
-    laid_out = dealt.unionByName(spread).repartition(shards, "shard").sortWithinPartitions("shard", "is_query")
+    laid_out = dealt.unionByName(spread).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "is_query")
     found = laid_out.mapInArrow(_search_shards(k, factor, leaf), FOUND)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
