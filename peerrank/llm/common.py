@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+HOT_KEYS = 10_000  # join_spread: keys with more than one in so many rows are spread
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -39,6 +41,33 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return [f"{n}{suffix}" for n in names]
 
 
+def join_spread(left: DataFrame, right: DataFrame, key: str, rows: str, spread: list[str]) -> DataFrame:
+    """``left`` left-joined with ``right``, which has one row per ``key`` and in
+    ``rows`` how many rows of ``left`` have it; the result has no ``rows``.
+
+    A key with more than one in ``HOT_KEYS`` of all rows does not meet in one
+    task: there are fewer than ``HOT_KEYS`` such keys, so they are broadcast and
+    their rows go on with the others, dealt by ``spread``, as rows without key do.
+    ``right`` is read three times."""
+    values = [c for c in right.columns if c not in (key, rows)]
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    hot_values, rest_values, rest_key, deal = fresh(left, "_hot_values", "_rest_values", "_rest_key", "_deal")
+    is_hot = F.col(rows) * F.lit(HOT_KEYS) > F.lit(total)
+    hot = right.filter(is_hot).select(key, F.struct(*values).alias(hot_values))
+    rest = right.filter(~is_hot).select(
+        F.col(key).alias(rest_key), F.lit(0).cast("long").alias(deal), F.struct(*values).alias(rest_values)
+    )
+    open_ = F.col(key).isNotNull() & F.col(hot_values).isNull()
+    dealt = left.join(F.broadcast(hot), key, "left").select(
+        *left.columns, hot_values, F.when(open_, F.col(key)).alias(rest_key),
+        F.when(open_, F.lit(0).cast("long")).otherwise(F.xxhash64(*spread)).alias(deal),
+    )
+    joined = dealt.join(rest, [rest_key, deal], "left")
+    return joined.select(
+        *left.columns, *[F.coalesce(F.col(hot_values)[c], F.col(rest_values)[c]).alias(c) for c in values]
+    )
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z (and no other letter) lower-cased; null becomes ''."""
     return F.translate(

@@ -33,13 +33,14 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, shared_folder, small_batches
+from .common import bound_batches, join_spread, shared_folder, small_batches, written
 from .storage import new_file, random_access, read_range
 
 # Signatures and sizes of the ZIP format.
@@ -191,12 +192,14 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def warc_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+def warc_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool,
+                date: str) -> bytes:
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     fields = {
         "WARC-Type": "revisit" if revisit else "response",
         "WARC-Record-ID": f"<urn:page:{'' if page_id is None else page_id}>",
+        "WARC-Date": date,
         "WARC-Target-URI": "".join((url or "").split()) or "urn:none",
         "WARC-Payload-Digest": f"sha1:{payload_digest(payload)}",
         "Content-Type": "application/http; msgtype=response",
@@ -246,9 +249,10 @@ def read_index(zipped: ZipReader) -> list[dict]:
     return [json.loads(x) for x in read_range(zipped.f, start, size).decode().split("\n") if x]
 
 
-def read_record(zipped: ZipReader, entry: dict) -> WarcRecord:
-    """One record of the package, by its byte range."""
-    start, size = zipped.place(WARC_MEMBER)
+def read_record(zipped: ZipReader, entry: dict, place: tuple[int, int] | None = None) -> WarcRecord:
+    """One record of the package, by its byte range; ``place``: that of the
+    WARC member, if it was read before."""
+    start, size = place or zipped.place(WARC_MEMBER)
     if entry["offset"] + entry["length"] > size:
         raise ValueError("index points past its member")
     record = parse_record(gzip.decompress(read_range(zipped.f, start + entry["offset"], entry["length"])))
@@ -269,16 +273,16 @@ def with_record_types(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     firsts = (
         keyed.filter(F.octet_length("html") >= least_bytes).select("digest", "page_id")
         .groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
-        .filter("n > 1").drop("n")
+        .filter("n > 1")
     )
-    typed = keyed.join(firsts, "digest", "left")
+    typed = join_spread(keyed, written(firsts, "warc-repeated"), "digest", "n", ["page_id", "url"])
     revisit = F.col("refers_to").isNotNull() & ~F.col("refers_to").eqNullSafe(F.col("page_id"))
     return typed.select(
         "page_id", "url", "html", revisit.alias("revisit"), F.when(revisit, F.col("refers_to")).alias("refers_to")
     )
 
 
-def _write_packages(folder: str, zip64: bool, level: int, package_bytes: int):
+def _write_packages(folder: str, zip64: bool, level: int, package_bytes: int, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in small_batches(batches, 128) for r in b.to_pylist())
         row, nth, part = next(rows, None), 0, TaskContext.get().partitionId()
@@ -289,7 +293,8 @@ def _write_packages(folder: str, zip64: bool, level: int, package_bytes: int):
                 zipped.begin(WARC_MEMBER)
                 while row is not None and zipped.size < package_bytes:
                     data = gzip.compress(
-                        warc_record(row["page_id"], row["url"], row["html"].encode(), row["refers_to"], row["revisit"]), level, mtime=0
+                        warc_record(row["page_id"], row["url"], row["html"].encode(), row["refers_to"], row["revisit"], date),
+                        level, mtime=0,
                     )
                     index.append(json.dumps({"page_id": row["page_id"], "offset": zipped.write(data), "length": len(data)}))
                     row = next(rows, None)
@@ -308,11 +313,15 @@ def _write_packages(folder: str, zip64: bool, level: int, package_bytes: int):
 
 
 def write_packages(pages: DataFrame, folder: str, least_bytes: int = 0, zip64: bool = False, level: int = 1,
-                   package_bytes: int = 1 << 28) -> list[dict]:
-    """Writes every page; returns the manifest, one entry per package."""
+                   package_bytes: int = 1 << 28, date: str | None = None) -> list[dict]:
+    """Writes every page; returns the manifest, one entry per package.  ``date``
+    (``YYYY-MM-DDThh:mm:ssZ``) is when the pages were captured, by default now:
+    one date for all records, so that a task that runs again writes the same."""
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    datetime.strptime(date, "%Y-%m-%dT%H:%M:%SZ")
     bound_batches(pages.sparkSession)
     typed = with_record_types(pages, least_bytes)
-    rows = typed.mapInArrow(_write_packages(folder, zip64, level, package_bytes), MANIFEST).collect()
+    rows = typed.mapInArrow(_write_packages(folder, zip64, level, package_bytes, date), MANIFEST).collect()
     return [r.asDict() for r in sorted(rows, key=lambda r: r["path"])]
 
 
@@ -324,8 +333,9 @@ def _report_packages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for path in batch.column(0).to_pylist():
             with random_access(path) as f:
                 zipped, out = ZipReader(f), []
+                place = zipped.place(WARC_MEMBER)
                 for entry in read_index(zipped):
-                    r = read_record(zipped, entry)
+                    r = read_record(zipped, entry, place)
                     revisit = r.fields["warc-type"] == "revisit"
                     out.append((
                         _page_of(r.fields["warc-record-id"]),
