@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, fresh, small_batches, text_bytes, written
+from .common import bound_batches, fresh, join_spread, small_batches, text_bytes, written
 from .components import connected_components
 
 # Star rounds before the pairs that are left: each bucket is compared with so
@@ -204,6 +204,7 @@ def near_dup_groups(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
         signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
             F.min(F.struct("doc_id", "text_key")).alias("pick"),
             F.max("n_shingles").alias("n"),
+            F.count("*").alias("docs"),
             F.first("bands").alias("bands"),  # equal sets have equal bands and sketches
             F.first("sketch").alias("sketch"),
         ),
@@ -228,7 +229,10 @@ def near_dup_groups(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     named = _named(shared, parts)
     rest = _open_pairs(named, classes, percent)
     checked, links, parts = _round(rest, checked, links, parts, docs, classes, shingle, percent)
-    return _named(signed.select("doc_id", "n_shingles", "node", "text_key"), parts)
+    named = written(_named(classes.select("node", "docs"), parts), "neardup-named")
+    return join_spread(
+        signed.select("doc_id", "n_shingles", "node", "text_key"), named, "node", "docs", ["doc_id", "text_key"]
+    )
 
 
 def _open_pairs(named: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -338,9 +342,11 @@ def _round(pairs, checked, links, parts, docs, classes, shingle, percent):
 def near_dup_report(docs: DataFrame, **options) -> DataFrame:
     """One row per document: n_shingles, component_id (smallest doc_id of the
     group, itself included) and kept (it is that document)."""
-    groups = near_dup_groups(docs, **options)
-    least = groups.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("least"))
-    return groups.join(least, "component", "left").select(
+    groups = written(near_dup_groups(docs, **options).select("doc_id", "n_shingles", "component"), "neardup-groups")
+    least = groups.filter(F.col("component").isNotNull()).groupBy("component").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("docs")
+    )
+    return join_spread(groups, written(least, "neardup-least"), "component", "docs", ["doc_id"]).select(
         "doc_id", "n_shingles",
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -356,9 +362,9 @@ def drop_near_dups(docs: DataFrame, shingle: int = 5, **options) -> DataFrame:
         "neardup-groups",
     )
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_key"))
-    chosen = groups.groupBy("component").agg(F.min(place).alias("pick"))
+    chosen = groups.groupBy("component").agg(F.min(place).alias("pick"), F.count("*").alias("docs"))
     losers = (
-        groups.join(chosen, "component")
+        join_spread(groups, written(chosen, "neardup-chosen"), "component", "docs", ["doc_id", "text_key"])
         .filter(~(F.col("doc_id").eqNullSafe(F.col("pick.doc_id")) & (F.col("text_key") == F.col("pick.text_key"))))
         .select(F.col("doc_id").alias(lost_id), F.col("text_key").alias(lost_key)).distinct()
     )
