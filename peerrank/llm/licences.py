@@ -1,15 +1,24 @@
 """Licence scan by a positional index of rare licence words.
 
 Templates are licence texts (or notices) with key phrases that must stand in a
-file for the licence to count.  The index holds, for each licence word, its
-places in the templates; the words' document frequencies come from all files.
-
-For each file and template the file's licence words of highest inverse
-document frequency and its key phrases are looked up.  Each of their places
-gives an alignment (place in the file minus place in the template), allowing
-for ``slack`` inserted or missing words.  An alignment counts if every key
-phrase stands word by word near it, whichever words gave it; its score is the
-share of template words found in order at it.
+file for the licence to count.  Words' document frequencies come from all files.
+
+1. The index posts, of each template, the places of the words with the highest
+   inverse document frequency.  With m words and a share of ``least`` asked for,
+   that are so many places that any alignment with this share holds at least
+   ``agree`` of them: m - ceil(least * m) + agree.
+2. A file's words are looked up there.  A place in the file minus a place in the
+   template is an alignment; alignments are counted in cells of ``slack``
+   (longer for long templates), each cell reaching over the one before it, so
+   words may be inserted or missing.  Postings are intersected: only cells that
+   ``agree`` of a template's posted places vote for are candidates.
+3. In a candidate every key phrase must stand word by word within the cell's
+   alignments.
+4. Its score is the share of template words found in order (longest common
+   subsequence within the cell's alignments, bit-parallel), at least ``least``.
+
+So the index loses nothing: it finds what scoring every cell of every template
+would find, and words elsewhere in the file neither add nor hide a licence.
 
 A short notice is its own only key phrase: each place of its rarest word in
 the file is tried, so every place of the notice is found.
@@ -23,7 +32,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,7 +65,72 @@ class Template:
     base: bool = False
 
 
-# The base phrases, then notices and opening sentences of public licences.
+# Whole public licences, as words in lower case.
+MIT_TEXT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files the software to deal in the software without restriction including without limitation the "
+    "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+    "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+    "notice and this permission notice shall be included in all copies or substantial portions of the software the "
+    "software is provided as is without warranty of any kind express or implied including but not limited to the "
+    "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors "
+    "or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or "
+    "otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+)
+ISC_TEXT = (
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+    "granted provided that the above copyright notice and this permission notice appear in all copies the software is "
+    "provided as is and the author disclaims all warranties with regard to this software including all implied "
+    "warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect "
+    "or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an "
+    "action of contract negligence or other tortious action arising out of or in connection with the use or "
+    "performance of this software"
+)
+BSD_2_TEXT = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met 1 redistributions of source code must retain the above copyright notice this list "
+    "of conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright "
+    "notice this list of conditions and the following disclaimer in the documentation and or other materials provided "
+    "with the distribution this software is provided by the copyright holders and contributors as is and any express "
+    "or implied warranties including but not limited to the implied warranties of merchantability and fitness for a "
+    "particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any "
+    "direct indirect incidental special exemplary or consequential damages including but not limited to procurement "
+    "of substitute goods or services loss of use data or profits or business interruption however caused and on any "
+    "theory of liability whether in contract strict liability or tort including negligence or otherwise arising in "
+    "any way out of the use of this software even if advised of the possibility of such damage"
+)
+ZLIB_TEXT = (
+    "this software is provided as is without any express or implied warranty in no event will the authors be held "
+    "liable for any damages arising from the use of this software permission is granted to anyone to use this "
+    "software for any purpose including commercial applications and to alter it and redistribute it freely subject to "
+    "the following restrictions 1 the origin of this software must not be misrepresented you must not claim that you "
+    "wrote the original software if you use this software in a product an acknowledgment in the product documentation "
+    "would be appreciated but is not required 2 altered source versions must be plainly marked as such and must not "
+    "be misrepresented as being the original software 3 this notice may not be removed or altered from any source "
+    "distribution"
+)
+UNLICENSE_TEXT = (
+    "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+    "compile sell or distribute this software either in source code form or as a compiled binary for any purpose "
+    "commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or "
+    "authors of this software dedicate any and all copyright interest in the software to the public domain"
+)
+APACHE_TEXT = (
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
+    "the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by "
+    "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+    "without warranties or conditions of any kind either express or implied see the license for the specific language "
+    "governing permissions and limitations under the license"
+)
+GPL_TEXT = (
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+    "license as published by the free software foundation either version 3 of the license or at your option any later "
+    "version this program is distributed in the hope that it will be useful but without any warranty without even the "
+    "implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for "
+    "more details you should have received a copy of the gnu general public license along with this program"
+)
+
+# The base phrases, then notices and opening sentences of public licences, then the whole texts.
 TEMPLATES = (
     Template("mit", "mit license", base=True),
     Template("apache", "apache license", base=True),
@@ -102,32 +176,73 @@ TEMPLATES = (
     Template("cc-by-nc", "cc by nc 4 0"),
     Template("cc-by-sa", "cc by sa 4 0"),
     Template("proprietary", "all rights reserved"),
+    Template("mit", MIT_TEXT, ("without restriction", "the software is provided as is")),
+    Template("isc", ISC_TEXT, ("with or without fee is hereby granted",)),
+    Template("bsd", BSD_2_TEXT, ("redistribution and use in source and binary forms",)),
+    Template("zlib", ZLIB_TEXT, ("must not be misrepresented",)),
+    Template("unlicense", UNLICENSE_TEXT, ("released into the public domain",)),
+    Template("apache", APACHE_TEXT, ("apache license version 2 0",)),
+    Template("gpl", GPL_TEXT, ("gnu general public license",)),
 )
 
 
 class Index:
-    """Templates as word lists with the places of each word."""
+    """Templates as word lists, and the postings of their rare words."""
 
-    def __init__(self, templates=TEMPLATES) -> None:
-        self.templates = templates
+    def __init__(self, templates=TEMPLATES, slack: int = 6, least: float = 0.6, agree: int = 3) -> None:
+        self.templates, self.least = templates, least
         self.words = [t.text.encode().split() for t in templates]
         self.keys = [[k.encode().split() for k in t.keys] or [w] for t, w in zip(templates, self.words, strict=True)]
-        self.places: list[dict[bytes, list[int]]] = []
+        self.notice = [k == [w] for k, w in zip(self.keys, self.words, strict=True)]
+        self.key_places = [
+            [[i for i in range(len(w)) if _phrase_at(w, i, k)] for k in keys] for w, keys in zip(self.words, self.keys, strict=True)
+        ]
+        self.slack = [max(slack, len(w) // 16) for w in self.words]
+        self.asked = [math.ceil(least * len(w) - 1e-9) for w in self.words]
+        self.agree = [min(agree, n) for n in self.asked]
+        self.bits: list[dict[bytes, int]] = []  # each template's places of a word, as a bit set
         for words in self.words:
-            at: dict[bytes, list[int]] = {}
+            at: dict[bytes, int] = {}
             for i, w in enumerate(words):
-                at.setdefault(w, []).append(i)
-            self.places.append(at)
+                at[w] = at.get(w, 0) | 1 << i
+            self.bits.append(at)
         self.vocabulary = sorted({w for words in self.words for w in words})
 
+    def postings(self, idf: dict[bytes, float]) -> dict[bytes, list[tuple[int, int]]]:
+        """(template, place) of the rarest places of each longer template, by word."""
+        out: dict[bytes, list[tuple[int, int]]] = {}
+        for t, words in enumerate(self.words):
+            if not self.notice[t]:
+                ranked = sorted(range(len(words)), key=lambda i: (-idf[words[i]], i))
+                for i in ranked[: len(words) - self.asked[t] + self.agree[t]]:
+                    out.setdefault(words[i], []).append((t, i))
+        return out
+
 
 def _phrase_at(words: list[bytes], at: int, phrase: list[bytes]) -> bool:
     return at >= 0 and words[at : at + len(phrase)] == phrase
 
 
-def scan(words: list[bytes], index: Index, idf: dict[bytes, float], slack: int = 6, rare: int = 3, least: float = 0.6):
+def candidates(where: dict[bytes, list[int]], index: Index, postings: dict[bytes, list[tuple[int, int]]]) -> dict[int, list[int]]:
+    """Cells of each template for which enough posted places vote; ``where``:
+    places of each licence word in the file."""
+    votes: dict[tuple[int, int], int] = defaultdict(int)
+    for w in where.keys() & postings.keys():
+        for t, i in postings[w]:
+            slack = index.slack[t]
+            for cell in {(p - i) // slack + d for p in where[w] for d in (0, 1)}:
+                votes[t, cell] |= 1 << i
+    found: dict[int, list[int]] = {}
+    for (t, cell), places in sorted(votes.items()):
+        if places.bit_count() >= index.agree[t]:
+            found.setdefault(t, []).append(cell)
+    return found
+
+
+def scan(words: list[bytes], index: Index, idf: dict[bytes, float], postings: dict[bytes, list[tuple[int, int]]]):
     """[(template number, place, score)]: all places of notices, the best
-    alignment of longer templates."""
+    alignment of longer templates (at ties the first), placed at its first key
+    phrase."""
     where: dict[bytes, list[int]] = {}
     for i, w in enumerate(words):
         if w in idf:
@@ -136,32 +251,19 @@ def scan(words: list[bytes], index: Index, idf: dict[bytes, float], slack: int =
     if not where:
         return found
     for t, template in enumerate(index.words):
+        if index.notice[t] and all(w in where for w in template):
+            found += [(t, s, 1.0) for s in _places(words, template, where, idf)]
+    for t, cells in candidates(where, index, postings).items():
         if any(w not in where for key in index.keys[t] for w in key):
             continue  # a key phrase lacks a word
-        ranked = sorted((w for w in index.places[t] if w in where), key=lambda w: (-idf[w], w))
-        if len(index.keys[t]) == 1 and index.keys[t][0] == template:
-            w = ranked[0]
-            starts = {p - i for p in where[w] for i in index.places[t][w]}
-            found += [(t, s, 1.0) for s in sorted(starts) if _phrase_at(words, s, template)]
-            continue
         stands = [_places(words, key, where, idf) for key in index.keys[t]]
-        if not all(stands):
-            continue
-        near: Counter[int] = Counter()
-        for w in ranked[:rare]:
-            near.update(_cells(where[w], index.places[t][w], slack))
-        for key, places in zip(index.keys[t], stands, strict=True):
-            at = [i for i in range(len(template)) if _phrase_at(template, i, key)]
-            near.update(dict.fromkeys(_cells(places, at, slack), 0))
         best = None
-        for cell in sorted(near, key=lambda c: (-near[c], c)):
-            lo, hi = (cell - 2) * slack, (cell + 2) * slack + len(template)
-            if not all(_some_in(p, max(lo, 0), hi - len(k)) for p, k in zip(stands, index.keys[t], strict=True)):
-                continue
-            part = words[max(lo, 0) : hi]
-            score = _in_order(template, part) / len(template)
-            if score >= least and (best is None or score > best[2]):
-                best = (t, max(lo, 0), score)
+        for cell in cells:
+            place = _keys_at(index, t, stands, cell)
+            if place is not None:
+                score = _in_order(index, t, words, cell) / len(index.words[t])
+                if score >= index.least and (best is None or score > best[2]):
+                    best = (t, place, score)
         if best:
             found.append(best)
     return found
@@ -173,25 +275,41 @@ def _places(words: list[bytes], phrase: list[bytes], where: dict[bytes, list[int
     return [p - at for p in where[phrase[at]] if _phrase_at(words, p - at, phrase)]
 
 
-def _cells(places: list[int], in_template: list[int], slack: int) -> set[int]:
-    """An alignment also counts for the cell after its own."""
-    return {(p - i + d) // slack for p in places for i in in_template for d in (0, slack)}
-
-
-def _some_in(places: list[int], first: int, last: int) -> bool:
-    i = bisect_left(places, first)
-    return i < len(places) and places[i] <= last
-
-
-def _in_order(a: list[bytes], b: list[bytes]) -> int:
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = row
-        row = [0]
-        for j, y in enumerate(b):
-            row.append(last[j] + 1 if x == y else max(row[j], last[j + 1]))
-    return row[-1]
+def _reach(index: Index, t: int, cell: int) -> tuple[int, int]:
+    """The first alignment of a cell, and the first past it."""
+    return (cell - 1) * index.slack[t], (cell + 1) * index.slack[t]
+
+
+def _keys_at(index: Index, t: int, stands: list[list[int]], cell: int) -> int | None:
+    """The first place of the key phrases within the cell, None if one lacks."""
+    lo, hi = _reach(index, t, cell)
+    first = None
+    for places, in_template in zip(stands, index.key_places[t], strict=True):
+        here = []
+        for i in in_template:
+            at = bisect_left(places, lo + i)
+            if at < len(places) and places[at] < hi + i:
+                here.append(places[at])
+        if not here:
+            return None
+        first = min(here) if first is None else min(first, *here)
+    return first
+
+
+def _in_order(index: Index, t: int, words: list[bytes], cell: int) -> int:
+    """Longest common subsequence of template and file within the cell's
+    alignments, bit-parallel over the template."""
+    (lo, hi), size, bits = _reach(index, t, cell), len(index.words[t]), index.bits[t]
+    full = (1 << size) - 1
+    v = full
+    for p in range(max(lo, 0), min(hi + size, len(words))):
+        m = bits.get(words[p], 0)
+        if m:
+            m &= (1 << max(p - lo + 1, 0)) - 1  # place in the template at most p - lo ...
+            m &= -1 << max(p - hi + 1, 0)  # ... and above p - hi
+            u = v & m
+            v = (v + u | v - u) & full
+    return size - v.bit_count()
 
 
 def word_frequencies(docs: DataFrame, index: Index) -> tuple[dict[bytes, int], int]:
@@ -214,23 +332,24 @@ def word_frequencies(docs: DataFrame, index: Index) -> tuple[dict[bytes, int], i
     return {w.encode(): n for w, n in counts.items()}, files
 
 
-def licence_report(docs: DataFrame, templates=TEMPLATES, slack: int = 6, rare: int = 3, least: float = 0.6) -> DataFrame:
+def licence_report(docs: DataFrame, templates=TEMPLATES, slack: int = 6, least: float = 0.6, agree: int = 3) -> DataFrame:
     """One row per document: words, places of the base phrases, labels, score.
 
     ``score`` is 1 for a notice found word by word, else the best template
     coverage; ``evidence`` lists label@word place of each finding.
     """
-    index = Index(templates)
+    index = Index(templates, slack, least, agree)
     bound_batches(docs.sparkSession)
     counts, files = word_frequencies(docs, index)
     idf = {w: math.log((1 + files) / (1 + counts.get(w, 0))) + 1 for w in index.vocabulary}
+    postings = index.postings(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             out: dict[str, list] = {c.split()[0]: [] for c in REPORT.split(", ")}
             for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
                 words = licence_words(text)
-                found = scan(words, index, idf, slack, rare, least)
+                found = scan(words, index, idf, postings)
                 base = [(templates[t].label, s) for t, s, _ in found if templates[t].base]
                 starts = [s for _, s in base]
                 row = (

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import itertools
+import math
 import random
 import re
 import zipfile
@@ -61,6 +62,72 @@ def test_licence_words_far_off_do_not_hide_a_changed_notice(docs_of, lorem):
     assert [r.labels for r in rows] == ["mit"] * 6 + [""]
 
 
+def changed_notices(lorem):
+    """Files with licence texts, whole or in part, with words changed, left out and put in."""
+    rng = random.Random(31)
+    texts = []
+    for i in range(120):
+        words = []
+        for j in range(rng.randint(1, 3)):
+            notice = rng.choice(licences.TEMPLATES).text.split()
+            rate = rng.choice([0.0, 0.05, 0.1, 0.2, 0.3, 0.4])
+            for w in notice:
+                x = rng.random()
+                words += [] if x < rate / 2 else ["zq"] if x < rate else [w, "zz"] if x > 1 - rate / 4 else [w]
+            words += lorem(rng.randint(1, 20), i * 5 + j).split()
+        texts.append(" ".join(words))
+    return texts
+
+
+def every_cell(words, index, t):
+    """The best (score, -cell) of a long template over all its alignments, by the plain recurrence."""
+    template, slack, best = index.words[t], index.slack[t], None
+    for cell in range(-len(template) // slack - 2, len(words) // slack + 3):
+        lo, hi = (cell - 1) * slack, (cell + 1) * slack
+        near = all(
+            any(lo <= p - i < hi and words[p : p + len(k)] == k for p in range(len(words)) for i in places)
+            for k, places in zip(index.keys[t], index.key_places[t], strict=True)
+        )
+        if near:
+            row = [0] * (len(words) + 1)
+            for i, x in enumerate(template):
+                last, row = row, [0]
+                for p, y in enumerate(words):
+                    row.append(last[p] + 1 if x == y and lo <= p - i < hi else max(row[p], last[p + 1]))
+            if row[-1] >= index.asked[t] and (best is None or row[-1] / len(template) > best):
+                best = row[-1] / len(template)
+    return best
+
+
+def test_licence_index_finds_what_scoring_every_alignment_finds(lorem):
+    index = licences.Index()
+    texts = [licences.licence_words(t.encode()) for t in changed_notices(lorem)]
+    counts = [sum(w in t for t in map(set, texts)) for w in index.vocabulary]
+    idf = {w: math.log((1 + len(texts)) / (1 + n)) + 1 for w, n in zip(index.vocabulary, counts, strict=True)}
+    postings, found, scored, cells = index.postings(idf), 0, 0, 0
+    for words in texts:
+        got = {t: s for t, _, s in licences.scan(words, index, idf, postings) if not index.notice[t]}
+        want = {t: every_cell(words, index, t) for t in range(len(index.words)) if not index.notice[t]}
+        assert got == {t: s for t, s in want.items() if s is not None}
+        found += len(got)
+        where = {w: [i for i, x in enumerate(words) if x == w] for w in set(words) & idf.keys()}
+        scored += sum(len(c) for c in licences.candidates(where, index, postings).values())
+        cells += sum(len(words) // s for s in index.slack)
+        # without postings there are no candidates: labels come from the index only
+        assert all(index.notice[t] for t, _, _ in licences.scan(words, index, idf, {}))
+    assert found > 60 and scored < 0.2 * cells
+
+
+def test_licence_index_does_not_depend_on_the_frequencies(lorem):
+    index, rng = licences.Index(), random.Random(8)
+    for text in changed_notices(lorem)[:40]:
+        words, found = licences.licence_words(text.encode()), []
+        for _ in range(3):
+            idf = {w: rng.random() for w in index.vocabulary}
+            found.append(sorted(licences.scan(words, index, idf, index.postings(idf))))
+        assert found[0] == found[1] == found[2]
+
+
 # --- 2 nearest neighbours -----------------------------------------------------
 
 
