@@ -12,7 +12,10 @@
    the driver (vocabulary x rank numbers, whatever the corpus size).
 4. Candidate search over every window of every document: windows of
    ``sizes`` words (stride half a window), each item belonging to one size;
-   cosine in the latent space of at least ``least_cosine``.
+   cosine in the latent space of at least ``least_cosine``.  Beside it, an item's
+   rarest word is looked up in all documents, and its places where the whole item
+   stands word for word are candidates too (of cosine 1): no verbatim copy is
+   lost, however short or common its words.
 5. Each candidate is checked word by word: longest common subsequence of the
    item and the window's surroundings, as a share of the item; and how much of
    the item's answer (its last sentence) the region holds.  Regions with too
@@ -20,8 +23,9 @@
    contained with ``lcs >= certain``, or with ``lcs >= likely`` and an answer
    share of at least ``answer``.
 
-The benchmark is taken in blocks of ``block_items`` items, each searched in all
-documents, so what is broadcast does not grow with it.
+Equal items are searched as one.  The benchmark is taken in blocks of about
+``block_items`` different items or ``block_chars`` characters, whichever are
+fewer, each searched in all documents, so what is broadcast does not grow with it.
 
 Defined cases: null and empty texts hold nothing; items without words are
 never found; an item of one or two words counts only if it stands in full;
@@ -44,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, fresh, small_batches, written
 
-FOUND = "doc_id long, text_key binary, item_id long, cosine double, lcs double, answer double, first_word int"
+FOUND = "doc_id long, text_key binary, item_key string, cosine double, lcs double, answer double, first_word int"
 _WORD_BYTES = bytes(
     c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)
 )
@@ -69,30 +73,31 @@ class Settings:
     answer: float = 0.6
     seed: int = 7
     block_items: int = 2_000
+    block_chars: int = 4_000_000
 
 
 @dataclass(frozen=True)
 class Items:
-    ids: list[int | None]
+    keys: list[str]
     words: list[np.ndarray]
     answers: list[np.ndarray]
     vocabulary: dict[bytes, int]  # from 1
 
 
-def prepare(rows: list[tuple[int | None, str]]) -> Items:
+def prepare(rows: list[tuple[str, str]]) -> Items:
     vocabulary: dict[bytes, int] = {}
-    ids, words, answers = [], [], []
-    for item_id, text in rows:
+    keys, words, answers = [], [], []
+    for key, text in rows:
         tokens = words_of(text)
         if not tokens:
             continue
         coded = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in tokens], dtype=np.int32)
         sentences = [s for s in (words_of(x) for x in _SENTENCE.split(text)) if s]
         size = max(len(sentences[-1]), min(3, len(tokens))) if sentences else len(tokens)
-        ids.append(item_id)
+        keys.append(key)
         words.append(coded)
         answers.append(coded[-size:])
-    return Items(ids, words, answers, vocabulary)
+    return Items(keys, words, answers, vocabulary)
 
 
 def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
@@ -220,6 +225,42 @@ def informative_words(items: Items, df: np.ndarray, passages: int, s: Settings)
     return keep
 
 
+def rarest_places(items: Items, df: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+    """(item, place of its rarest word) by that word."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    for i, words in enumerate(items.words):
+        at = int(np.argmin(df[words]))
+        out.setdefault(int(words[at]), []).append((i, at))
+    return out
+
+
+def verbatim(docs: list[np.ndarray], items: Items, rarest: dict[int, list[tuple[int, int]]]) -> list[tuple[np.ndarray, ...]]:
+    """(items, documents, starts, ones): the first place in a document where an
+    item stands word for word, for every item and document."""
+    begin = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    flat = np.concatenate(docs) if docs else np.empty(0, dtype=np.int64)
+    wanted = np.zeros(len(items.vocabulary) + 1, dtype=bool)
+    wanted[list(rarest)] = True
+    at = np.flatnonzero(wanted[flat])
+    at = at[np.argsort(flat[at], kind="stable")]
+    names, lows = np.unique(flat[at], return_index=True)
+    out = []
+    for word, places in zip(names.tolist(), np.split(at, lows[1:]), strict=False):
+        doc = np.searchsorted(begin, places, side="right") - 1
+        for i, offset in rarest[word]:
+            words, start = items.words[i], places - offset
+            inside = (start >= begin[doc]) & (start + len(words) <= begin[doc + 1])
+            start, owner = start[inside], doc[inside]
+            for j, x in enumerate(words):
+                same = flat[start + j] == x
+                start, owner = start[same], owner[same]
+                if not len(start):
+                    break
+            owner, first = np.unique(owner, return_index=True)
+            out.append((np.full(len(owner), i), owner, start[first] - begin[owner], np.ones(len(owner))))
+    return out
+
+
 def fit_basis(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.ndarray, s: Settings) -> np.ndarray:
     """Vocabulary x rank: the leading right singular vectors of the passages."""
     spark = encoded.sparkSession
@@ -279,16 +320,19 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return np.divide(x, norm, out=np.zeros_like(x), where=norm > 1e-6)
 
 
-def search(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.ndarray, basis: np.ndarray, s: Settings) -> DataFrame:
+def search(
+    encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.ndarray, basis: np.ndarray,
+    rarest: dict[int, list[tuple[int, int]]], s: Settings,
+) -> DataFrame:
     """One row per document and item contained in it."""
     dtype = _code_type(items)
-    shared = encoded.sparkSession.sparkContext.broadcast((items, informative, idf, basis))  # one block of items
+    shared = encoded.sparkSession.sparkContext.broadcast((items, informative, idf, basis, rarest))  # one block of items
 
     def size_of(n: int) -> int:
         return next((x for x in s.sizes if n <= x * 1.5), s.sizes[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        its, keep, weight, base = shared.value
+        its, keep, weight, base, rare = shared.value
         classes: dict[int, list[int]] = {}
         for i, words in enumerate(its.words):
             classes.setdefault(size_of(len(words)), []).append(i)
@@ -301,7 +345,7 @@ def search(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.nd
             latent[size] = _unit(vectors)
         for batch in small_batches(batches):
             docs = _decoded(batch, dtype)
-            hits: list[tuple[np.ndarray, ...]] = []  # item, document, start, cosine
+            hits = verbatim(docs, its, rare)  # item, document, start, cosine
             for size, members in classes.items():
                 cells = window_cells(docs, size, size // 2, keep)
                 if cells is None:
@@ -322,7 +366,7 @@ def search(encoded: DataFrame, items: Items, informative: np.ndarray, idf: np.nd
                 keys = batch.column(1).take(pa.array([x[0] for x in out]))
                 ids = batch.column(0).take(pa.array([x[0] for x in out]))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, keys, pa.array([its.ids[x[1]] for x in out], pa.int64()), *[pa.array([x[c] for x in out], pa.float64()) for c in (2, 3, 4)],
+                    [ids, keys, pa.array([its.keys[x[1]] for x in out], pa.string()), *[pa.array([x[c] for x in out], pa.float64()) for c in (2, 3, 4)],
                      pa.array([x[5] for x in out], pa.int32())],
                     [c.split()[0] for c in FOUND.split(", ")],
                 )
@@ -389,32 +433,43 @@ def _verified(doc, words, answer, starts, cosines, size, place, counts, s: Setti
 def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
     """doc_id, text_key, item_id, cosine, lcs, answer, first_word for every
     document and benchmark item that it contains."""
-    s = settings or Settings()
-    bound_batches(docs.sparkSession)
-    items_table = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = max(1, math.ceil(items_table.count() / s.block_items))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _item_key().alias("item_key"))
+    found = _found(docs, benchmark, settings or Settings())
+    return found.join(items, "item_key").select("doc_id", "text_key", "item_id", "cosine", "lcs", "answer", "first_word")
+
+
+def _item_key():
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, s: Settings) -> DataFrame:
+    """FOUND: one row per document and different item that it contains."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    texts = benchmark.select(_item_key().alias("item_key"), F.coalesce("text", F.lit("")).alias("text")).distinct()
+    texts = written(texts, "decontam-items")
+    size = texts.agg(F.count("*").alias("items"), F.sum(F.length("text")).alias("chars")).first()
+    blocks = max(1, math.ceil(size["items"] / s.block_items), math.ceil((size["chars"] or 0) / s.block_chars))
     out = None
     for b in range(blocks):
-        some = items_table.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
-        items = prepare(sorted(((r["item_id"], r["text"]) for r in some), key=lambda x: (x[0] is None, x)))
-        if not items.ids:
+        some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect()
+        items = prepare(sorted((r["item_key"], r["text"]) for r in some))
+        if not items.keys:
             continue
         encoded = encode(docs, items)
         df, passages = frequencies(encoded, items, s)
         informative = informative_words(items, df, passages, s)
         idf = np.where(informative, np.log((1 + passages) / (1 + df)) + 1, 0.0)
         basis = fit_basis(encoded, items, informative, idf, s)
-        found = search(encoded, items, informative, idf, basis, s)
+        found = search(encoded, items, informative, idf, basis, rarest_places(items, df), s)
         out = found if out is None else out.unionByName(found)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], FOUND)
-    return out
+    return spark.createDataFrame([], FOUND) if out is None else out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
     """``docs`` without the documents that contain an item."""
     hit_id, hit_key = fresh(docs, "_hit_id", "_hit_key")
-    found = contaminated(docs, benchmark, settings).select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key))
+    found = _found(docs, benchmark, settings or Settings()).select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key))
     found = written(found.distinct(), "decontam-found")
     return docs.join(
         found, F.col("doc_id").cast("long").eqNullSafe(F.col(hit_id)) & (text_key() == F.col(hit_key)), "left_anti"

@@ -356,6 +356,57 @@ def test_decontamination_finds_items_and_paraphrases(spark, docs_of, lorem, odd_
     assert decontam.contaminated(docs, benchmark.limit(0)).count() == 0 and decontam.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def test_short_and_repeated_items_are_found_wherever_they_stand(spark, docs_of, lorem):
+    rng = random.Random(17)
+    texts = [lorem(rng.randint(1, 120), 3000 + i) for i in range(150)]
+    words = [t.lower().split() for t in texts]
+    items = []
+    for i in range(60):  # one to six words cut out of the documents, so some of them stand in many
+        w = rng.choice(words)
+        at = rng.randrange(len(w))
+        items.append((i, " ".join(w[at : at + rng.randint(1, 6)])))
+    items += [(60, items[0][1]), (0, items[0][1]), (61, words[3][0])]  # repeated rows, one word
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of([(i, t, "s") for i, t in enumerate(texts)])
+    plain = [decontam.words_of(t) for t in texts]
+    want = {
+        (d, i) for i, text in items for d, w in enumerate(plain) for x in [decontam.words_of(text)]
+        if any(w[p : p + len(x)] == x for p in range(len(w)))
+    }
+    for settings in (decontam.Settings(), decontam.Settings(block_chars=300)):  # one block, several
+        found = decontam.contaminated(docs, benchmark, settings).collect()
+        assert want <= {(r.doc_id, r.item_id) for r in found}
+        times = sum(r.item_id == 0 for r in found)
+        assert times == 2 * sum(r.item_id == 60 for r in found) > 0  # the item's row is there twice
+        # what else is found holds most of the item, in order
+        for r in found:
+            x = next(decontam.words_of(t) for i, t in items if i == r.item_id)
+            share = decontam.lcs_length(np.array([hash(w) for w in x]), np.array([hash(w) for w in plain[r.doc_id]])) / len(x)
+            assert share >= 0.6 and (len(x) > 2 or share == 1)
+
+
+def test_paraphrases_due_by_the_rule_are_found(spark, docs_of, lorem):
+    rng = random.Random(23)
+    items = [(i, lorem(rng.randint(15, 50), 4000 + i).capitalize() + ". " + lorem(5, 4500 + i) + ".") for i in range(60)]
+    rows, due = [], set()
+    for n, (i, text) in enumerate(items * 4):
+        words = [f"qz{rng.randrange(999)}" if rng.random() < (0, 0.1, 0.2, 0.3)[n // len(items)] else w for w in decontam_words(text)]
+        rows.append((n, f"{lorem(90, n)} {' '.join(words)} {lorem(70, n + 7)}", "s"))
+        item, answer = decontam_words(text), decontam_words(text)[-5:]
+        share = sum(a == b for a, b in zip(item, words, strict=True)) / len(item)
+        ends = sum(a == b for a, b in zip(answer, words[-5:], strict=True)) / 5
+        if share >= 0.8 or share >= 0.6 and ends >= 0.6:
+            due.add((n, i))
+    found = decontam.contaminated(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert len(due) > 180 and len(due - got) <= 0.02 * len(due)
+    assert all(i == d % len(items) for d, i in got)
+
+
+def decontam_words(text):
+    return [w.decode() for w in decontam.words_of(text)]
+
+
 def test_lcs_matches_dynamic_programme():
     rng = random.Random(2)
     for _ in range(200):
