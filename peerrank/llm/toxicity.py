@@ -3,14 +3,17 @@ inverted index, distance-weighted votes, calibrated score, evidence.
 
 Terms are words and the first 4 and 5 letters of longer words (stems of
 compounds).  The vector space holds the terms that the labelled training rows
-associate with a label (G-test and odds ratio); a text without any of them has
-no neighbours and gets the score of such texts.  Weights are (1 + log tf) times
-idf; document frequencies come from all documents.
+associate with a label (G-test of ``least_g``, odds ratio of ``least_odds``): over
+all terms the topic of a text outweighs its tone, and fewer toxic texts are found
+(README has figures).  A text without any of them has no neighbours and gets the
+score of such texts.  Weights are (1 + log tf) times idf; document frequencies come
+from all documents.
 
 The ``k`` nearest examples are exact.  Examples are indexed by term in blocks;
 a block's bound is the sum over the query's terms of query weight times the
-term's largest weight in the block.  Blocks are scored in descending order of
-bound until none can beat the k-th best.  Examples with the very text that is
+term's largest weight in the block.  The blocks with the highest bounds are scored
+first; then those that can still beat the k-th best, by block if they are few and
+by term if they are many.  Examples with the very text that is
 scored are left out, so no text is scored by its own label.
 
 The vote is the similarity-weighted share of toxic neighbours, shrunk to the
@@ -120,48 +123,78 @@ def weights(terms: Counter, idf: np.ndarray) -> dict[int, float]:
 
 
 class BlockMaxIndex:
-    """Examples by term, in blocks of ``block`` examples with each term's
-    largest weight."""
+    """Examples by term and by block of ``block`` examples, with each term's
+    largest weight in each block."""
 
     def __init__(self, vectors: list[dict[int, float]], toxic: list[int], ids: list[int], keys: list[bytes], block: int = 64) -> None:
-        self.toxic, self.ids, self.keys, self.block = toxic, ids, keys, block
+        self.toxic, self.ids, self.block = toxic, ids, block
         self.blocks = -(-len(vectors) // block)
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for e, vector in enumerate(vectors):
-            for t, v in vector.items():
-                postings.setdefault(t, []).append((e, v))
-        self.examples = {t: np.array([e for e, _ in p]) for t, p in postings.items()}
-        self.values = {t: np.array([v for _, v in p]) for t, p in postings.items()}
-        self.starts, self.most = {}, {}
-        for t, examples in self.examples.items():
-            self.starts[t] = np.searchsorted(examples, np.arange(self.blocks + 1) * block)
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, examples // block, self.values[t])
-            self.most[t] = most
+        self.same: dict[bytes, list[int]] = {}
+        for e, key in enumerate(keys):
+            self.same.setdefault(key, []).append(e)
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v) for v in vectors])
+        term = np.array([t for v in vectors for t in v], dtype=np.int32)
+        value = np.array([x for v in vectors for x in v.values()], dtype=np.float64)
+        self.terms = int(term.max()) + 1 if len(term) else 0
+        self.block_at = np.searchsorted(example, np.arange(self.blocks + 1) * block)
+        self.example, self.term, self.value = example, term, value
+        order = np.argsort(term, kind="stable")
+        self.term_at = np.searchsorted(term[order], np.arange(self.terms + 1))
+        self.term_example, self.term_value = example[order], value[order]
+        self.most = np.zeros((self.terms, self.blocks), dtype=np.float32)
+        np.maximum.at(self.most, (term, example // block), value.astype(np.float32))
+        self.most *= np.float32(1 + 1e-6)  # not below the weights after rounding
 
     def nearest(self, query: dict[int, float], k: int, leave_out: bytes | None = None) -> list[tuple[float, int]]:
         """[(cosine, example)] of the ``k`` most similar with cosine above 0,
         most similar first, ties to the earlier example."""
-        terms = [t for t in query if t in self.examples]
-        if not terms:
+        terms = np.array([t for t in query if t < self.terms], dtype=np.int64)
+        if not len(terms):
             return []
-        bound = sum(query[t] * self.most[t] for t in terms)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            # (1 + 1e-9): the bound and the sum round differently
-            if bound[b] <= 0 or len(best) == k and bound[b] * (1 + 1e-9) < best[-1][0]:
-                break
-            scores = np.zeros(self.block)
-            for t in terms:
-                lo, hi = self.starts[t][b], self.starts[t][b + 1]
-                if lo < hi:
-                    scores[self.examples[t][lo:hi] - b * self.block] += query[t] * self.values[t][lo:hi]
-            for i in np.flatnonzero(scores):
-                e = int(b * self.block + i)
-                if leave_out is None or self.keys[e] != leave_out:
-                    best.append((float(scores[i]), e))
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        weight = np.array([query[t] for t in terms.tolist()])
+        bound = weight @ self.most[terms]
+        order = np.argsort(-bound, kind="stable")
+        order = order[: np.count_nonzero(bound > 0)]
+        left = self.same.get(leave_out, ()) if leave_out is not None else ()
+        dense = np.zeros(self.terms)
+        dense[terms] = weight
+        best = self._best([self._by_block(b, dense) for b in order[:8]], left, k)
+        rest = order[8:]
+        if len(best) == k:
+            rest = rest[bound[rest] * (1 + 1e-9) >= best[-1][0]]
+        if len(rest) > 16:
+            scores = self._by_term(terms, weight)
+            found = np.flatnonzero(scores)
+            more = [(found, scores[found])]
+        else:
+            more = [self._by_block(b, dense) for b in order[:8]] + [self._by_block(b, dense) for b in rest]
+        return self._best(more, left, k) if len(rest) else best
+
+    def _by_block(self, b: int, dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi = self.block_at[b], self.block_at[b + 1]
+        scores = np.bincount(self.example[lo:hi] - b * self.block, weights=dense[self.term[lo:hi]] * self.value[lo:hi])
+        found = np.flatnonzero(scores)
+        return found + b * self.block, scores[found]
+
+    def _by_term(self, terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        parts = [slice(self.term_at[t], self.term_at[t + 1]) for t in terms.tolist()]
+        return np.bincount(
+            np.concatenate([self.term_example[p] for p in parts]),
+            weights=np.concatenate([self.term_value[p] * w for p, w in zip(parts, weight.tolist(), strict=True)]),
+        )
+
+    def _best(self, found: list[tuple[np.ndarray, np.ndarray]], left: list[int], k: int) -> list[tuple[float, int]]:
+        if not found:
+            return []
+        example, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        if len(left):
+            keep = ~np.isin(example, left)
+            example, score = example[keep], score[keep]
+        if len(score) > 4 * k:
+            high = score >= np.partition(score, len(score) - k)[len(score) - k]
+            example, score = example[high], score[high]
+        top = np.lexsort((example, -score))[:k]
+        return list(zip(score[top].tolist(), example[top].tolist(), strict=True))
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +212,8 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return x, np.maximum.accumulate(y)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 16_384, max_terms: int = 8_192, least_g: float = 25.0,
-        least_odds: float = 4.0, k: int = 15, shrink: float = 0.5) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 16_384, least_g: float = 25.0, least_odds: float = 4.0,
+        k: int = 15, shrink: float = 0.5) -> Model | None:
     """The model, or None without training rows of both labels."""
     bound_batches(docs.sparkSession)
     train = (
@@ -201,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 16_384, max_term
     n, t = totals["n"], totals["t"] or 0
     if not 0 < t < n:
         return None
-    chosen = _associated_terms(examples, n, t, max_terms, least_g, least_odds)
+    chosen = _associated_terms(examples, n, t, least_g, least_odds)
     vocabulary = {term: i for i, term in enumerate(sorted(chosen))}
     idf = _inverse_frequencies(docs, vocabulary)
     rows = examples.select("text_key", "doc_id", "toxic", "text").mapInArrow(_example_vectors(vocabulary), "text_key string, doc_id long, toxic int, terms array<int>, counts array<int>").collect()
@@ -219,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 16_384, max_term
     return model
 
 
-def _associated_terms(examples: DataFrame, n: int, t: int, max_terms: int, least_g: float, least_odds: float) -> list[str]:
+def _associated_terms(examples: DataFrame, n: int, t: int, least_g: float, least_odds: float) -> list[str]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms_of, clean, toxic = TermCounter(), Counter(), Counter()
 
@@ -254,11 +287,8 @@ def _associated_terms(examples: DataFrame, n: int, t: int, max_terms: int, least
         + part(c, (n - with_term) * F.lit(t / n)) + part(d, (n - with_term) * F.lit(1 - t / n))
     )
     odds = F.log((F.col("a") + 0.5) * (d + 0.5) / ((F.col("b") + 0.5) * (c + 0.5)))
-    best = (
-        sums.withColumn("g", g).filter((F.col("g") >= least_g) & (F.abs(odds) >= math.log(least_odds)))
-        .orderBy(F.desc("g"), "term").limit(max_terms).select("term").collect()
-    )
-    return [r["term"] for r in best]
+    tied = sums.filter((g >= least_g) & (F.abs(odds) >= math.log(least_odds))).select("term").collect()
+    return [r["term"] for r in tied]  # terms of at most max_examples texts
 
 
 def _inverse_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
@@ -301,7 +331,7 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.5
     """One row per document; ``evidence`` lists the examples that voted,
     nearest first, ``similarity`` is the nearest one's cosine."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by max_examples and max_terms
+    shared = spark.sparkContext.broadcast(model)  # bounded by max_examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -168,6 +168,39 @@ def test_block_max_search_is_exact():
         assert np.allclose([s for s, _ in index.nearest(q, 10)], [s for s, _ in brute if s > 0])
 
 
+def test_block_max_search_by_block_and_by_term_is_exact():
+    rng = random.Random(5)
+    weight = np.linspace(1, 4, 300)
+    vectors = [toxicity.weights({t: rng.randint(1, 3) for t in rng.sample(range(300), rng.randint(1, 30))}, weight) for _ in range(2000)]
+    keys = [bytes(f"{i % 1500}", "ascii") for i in range(2000)]
+    index = toxicity.BlockMaxIndex(vectors, [0] * 2000, list(range(2000)), keys, block=32)
+    for n, q in enumerate(vectors[:60]):
+        some = q if n % 2 else dict(list(q.items())[:1])  # few terms: few blocks can win
+        for leave_out in (None, keys[n]):
+            brute = sorted(
+                ((sum(w * v.get(t, 0.0) for t, w in some.items()), -e) for e, v in enumerate(vectors) if keys[e] != leave_out), reverse=True
+            )[:15]
+            got = index.nearest(some, 15, leave_out)
+            assert np.allclose([x for x, _ in got], [x for x, _ in brute if x > 0])
+            assert all(abs(sum(w * vectors[e].get(t, 0.0) for t, w in some.items()) - x) < 1e-9 for x, e in got)
+    assert index.nearest({999: 1.0}, 5) == [] and toxicity.BlockMaxIndex([], [], [], []).nearest({0: 1.0}, 5) == []
+
+
+def test_toxicity_neighbours_equal_brute_force_cosine(spark, docs_of, lorem):
+    rng = random.Random(6)
+    rows = [(i, " ".join([lorem(40, i), *rng.sample(["vile", "awful", "nasty", "grim"], 2 if i % 3 == 0 else 0)]), "s") for i in range(300)]
+    docs = docs_of(rows)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(300)], LABELS)
+    model = toxicity.fit(docs, labels)
+    counter = toxicity.TermCounter(model.vocabulary)
+    trained = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    vectors = {i: toxicity.weights(counter(rows[i][1]), model.idf) for i in range(300)}
+    for r in toxicity.score_documents(docs, model).collect():
+        cosine = {i: sum(w * vectors[i].get(t, 0.0) for t, w in vectors[r.doc_id].items()) for i in trained if i != r.doc_id}
+        best = sorted((x for x in cosine.values() if x > 1e-12), reverse=True)[: model.k]
+        assert np.allclose([cosine[e] for e in r.evidence], best) and abs(r.similarity - (best[0] if best else 0)) < 1e-9
+
+
 def test_toxicity_held_out_accuracy_and_filter(spark, docs_of, lorem, odd_docs):
     rows, marks = [], []
     for i in range(600):
