@@ -1,5 +1,7 @@
 """Invariants of both modes on the sf0.001 tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,3 +51,27 @@ def test_row_order_does_not_change_results(small):
         a = {x.user_id: x.rank_q for x in mode(small, 20, 2).collect()}
         b = {x.user_id: x.rank_q for x in mode(shuffled, 20, 2).collect()}
         assert a == b
+
+
+def test_product_iterations_in_one_pass_equal_the_windows(spark):
+    """Whole products cut out of Arrow batches: nulls, repeated rows, h above 1."""
+    from peerrank.operators.product import product_iterations
+
+    rnd = random.Random(7)
+    pick = lambda values: rnd.choice(values)
+    rows = [
+        (pick(["p1", "p2", "p3", None]), pick([*"abcdefgh", None]), pick([1, 2, None]),
+         pick([-10**9, -3 * 10**8, 0, 7 * 10**8, 10**9, 3 * 10**9, None, rnd.randint(-10**9, 10**9)]), pick([1, 2, None]), i // 2)
+        for i in range(400)
+    ]
+    reviews = spark.createDataFrame(rows, "product_id string, user_id string, rating int, hq long, unix_time long, review_id long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for iters, history in ((1, True), (4, False), (4, True)):
+            got, want = (
+                sorted(map(str, product_iterations(reviews, 3, iters, checkpoint_every=every, history=history).collect()))
+                for every in (None, 1)
+            )
+            assert got == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
