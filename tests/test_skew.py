@@ -204,6 +204,30 @@ def test_jobs_of_the_hot_path(spark):
     assert jobs <= 40, jobs
 
 
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run().write.format("noop").mode("overwrite").save()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_more_iterations_of_hot_products_cost_no_more_jobs(spark, small):
+    few, many = (jobs_of(spark, f"hot-{i}", lambda: product_rank(small, 20, i, hot_rows=4)) for i in (2, 6))
+    assert many <= few + 2, (few, many)
+
+
+@pytest.mark.parametrize("target", [3, 200_000])
+def test_repeated_users_of_hot_products(spark, tmp_out, monkeypatch, target):
+    monkeypatch.setattr(suffix, "TARGET_BUCKET_ROWS", target)
+    rnd = random.Random(3)
+    rows = [(i, f"P{i % 2}", f"u{rnd.randrange(9)}", rnd.randint(1, 3), rnd.randint(0, 9), rnd.randint(0, 9), rnd.randrange(20)) for i in range(120)]
+    r = load_reviews(spark, write_csv(tmp_out("repeated.csv"), rows))
+    want = trace_map(product_rank(r, 20, 4, trace=True, hot_rows=None))
+    assert trace_map(product_rank(r, 20, 4, trace=True, hot_rows=10)) == want
+
+
 # --- broadcasts by size ---------------------------------------------------------
 
 
