@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import strip_quotes
 from ..operators.joins import join_small
-from ..operators.positions import positions
+from ..session import cut_lineage
 
 RESULT_LINE = r"^\((.*),([^,]*)\)$"
 
@@ -77,20 +77,28 @@ def link_records(links: DataFrame) -> DataFrame:
 # --- arrays over many part files ------------------------------------------------
 
 
-def array_lines(records: DataFrame, order: list[str], group: str | None = None) -> DataFrame:
-    """One line per record, ``(group, position, value)``: in order of position
-    the lines of a group make up one JSON array of the other columns.  ``order``
-    must be a total order of the records of a group."""
-    fields = [c for c in records.columns if c != group]
-    by = group or "_array"
-    grouped = records if group else records.withColumn(by, F.lit(0))
-    placed = positions(grouped, [F.col(c).asc() for c in order], group=by)
-    sized = join_small(placed, placed.groupBy(by).agg(F.max("position").alias("_last")), [by])
+def array_lines(records: DataFrame, order: list[str], group: str | None = None, partitions: int | None = None) -> DataFrame:
+    """One line per record, ``(value, group)``, dealt out and sorted so that the
+    lines of a group in order make up one JSON array of the other columns.
+    ``order`` must be a total order of the records of a group.  One shuffle: a
+    line needs to know only whether its record is the first or last of its group."""
+    n = partitions or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by, keys = group or "_array", [group] if group else []
+    # written: read for the ends, for the borders of the ranges and for the lines
+    grouped = cut_lineage(records if group else records.withColumn(by, F.lit(0)))
+    place = F.struct(*order)
+    ends = cut_lineage(grouped.groupBy(by).agg(F.min(place).alias("_least"), F.max(place).alias("_most")))
+    marked = join_small(grouped, ends, [by]).select(
+        *records.columns, place.eqNullSafe(F.col("_least")).alias("_first"), place.eqNullSafe(F.col("_most")).alias("_last"))
+    # records of one place (an order that is not total) lie in one range: one of them opens or closes
+    w = Window.partitionBy(*keys, *order).orderBy(order[0])
+    opens, closes = F.col("_first") & (F.row_number().over(w) == 1), F.col("_last") & F.lead(F.lit(1)).over(w).isNull()
+    placed = marked.repartitionByRange(n, *keys, *order).withColumn("_opens", opens).withColumn("_closes", closes)
     value = F.concat(
-        F.when(F.col("position") == 1, F.lit("[")).otherwise(F.lit(",")), F.to_json(F.struct(*fields)),
-        F.when(F.col("position") == F.col("_last"), F.lit("]")).otherwise(F.lit("")),
+        F.when(F.col("_opens"), F.lit("[")).otherwise(F.lit(",")), F.to_json(F.struct(*[c for c in records.columns if c != group])),
+        F.when(F.col("_closes"), F.lit("]")).otherwise(F.lit("")),
     )
-    return sized.select(*([group] if group else []), "position", value.alias("value"))
+    return placed.sortWithinPartitions(*keys, *order).select(value.alias("value"), *keys)
 
 
 def write_json_array(records: DataFrame, path: str, order: list[str], group: str | None = None,
@@ -98,11 +106,7 @@ def write_json_array(records: DataFrame, path: str, order: list[str], group: str
     """Writes one JSON array per group (folder ``group=value``), each as part
     files that in order of their names join to the array.  A group without
     records has no folder."""
-    lines = array_lines(records, order, group)
-    n = partitions or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [group] if group else []
-    dealt = lines.repartitionByRange(n, *keys, "position").sortWithinPartitions(*keys, "position").select("value", *keys)
-    writer = dealt.write.mode(mode)
+    writer = array_lines(records, order, group, partitions).write.mode(mode)
     (writer.partitionBy(group) if group else writer).text(path)
 
 

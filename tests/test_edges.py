@@ -15,7 +15,7 @@ from peerrank.operators.product import product_rank
 from peerrank.plans.job import rank_job, rank_reviews
 from peerrank.session import MAX_BUCKETS, cut_lineage_keyed, ensure_checkpoint_dir, layout_partitions, scratch_run
 from peerrank.sources.reviews import load_reviews, load_reviews_quarantine
-from peerrank.sources.sinks import array_index, read_json_array, read_result, read_result_quarantine, write_json_array, write_result
+from peerrank.sources.sinks import array_index, array_lines, read_json_array, read_result, read_result_quarantine, write_json_array, write_result
 
 HEADER = ",asin,helpful,overall,reviewerID,unixReviewTime\n"
 
@@ -300,6 +300,21 @@ def test_json_array_is_one_array_over_its_parts(spark, tmp_out):
         write_json_array(df, path, ["id"], "iter")
 
 
+def test_json_array_needs_one_range_shuffle_and_closes_once(spark, tmp_out):
+    rows = [(i % 2, f"u{i // 3}" if i else None) for i in range(40)]   # the order is not total, one id is null
+    df = spark.createDataFrame(rows, "iter int, id string")
+    assert array_lines(df, ["id"], "iter", 5)._jdf.queryExecution().executedPlan().toString().count("rangepartitioning") == 1
+    for group in ("iter", None):
+        path = tmp_out(f"tied-{group}")
+        write_json_array(df, path, ["iter", "id"] if group is None else ["id"], group, partitions=5)
+        joined = {}
+        for x in array_index(spark, path).orderBy("folder", "start").collect():
+            with open(os.path.join(x.folder.removeprefix("file:"), x.part), encoding="utf-8") as f:
+                joined[x.folder] = joined.get(x.folder, "") + f.read()
+        found = [r.get("id") for text in joined.values() for r in json.loads(text)]
+        assert sorted(map(str, found)) == sorted(str(x[1]) for x in rows)
+
+
 def test_heavy_keys_are_exact_and_complete(spark):
     rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"))
     got = {x.k: x.n_rows for x in heavy_keys(rows, "k", 0.01).collect()}
