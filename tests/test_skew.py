@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import bruteforce as BF
 from peerrank.operators.general import general_graph, general_rank
-from peerrank.operators import report, suffix
+from peerrank.operators import links, report, suffix
 from peerrank.operators.general_hot import cost_model, split_groups
 from peerrank.operators.joins import join_small, memory_bytes
 from peerrank.operators.links import block_cells, block_pairs, general_links, product_link_pairs
@@ -138,6 +138,19 @@ def test_a_group_of_50000_members_spreads_over_tasks(spark):
     assert pairs.count() == 2_000 * 1_999 // 2 - 1   # two members share a value
 
 
+@pytest.mark.parametrize("target", [4, 200_000])
+def test_groups_that_fit_a_task_are_numbered_where_they_lie(spark, monkeypatch, target):
+    numbered = []
+    monkeypatch.setattr(suffix, "TARGET_BUCKET_ROWS", target)
+    monkeypatch.setattr(links, "positions", lambda df, *a, **k: numbered.append(df) or positions(df, *a, **k))
+    members = cut_lineage(group_members(spark, 9, 7).unionByName(group_members(spark, 3, 3).withColumn("rating", F.lit(1))))
+    pairs = sorted(map(tuple, block_pairs(members, 2, 3).collect()))
+    rows = members.collect()
+    want = [(a.user_id, b.user_id) for a in rows for b in rows if a.rating == b.rating and b.H < a.H]
+    assert pairs == sorted(want)
+    assert len(numbered) == (target == 4)
+
+
 def test_equal_values_make_no_cells(spark):
     _, cells = block_cells(group_members(spark, 3_000, 1), 100, 8)
     assert cells.count() == 0
