@@ -8,8 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import bruteforce as BF
-from peerrank.operators.general import general_graph, general_rank
+from peerrank.operators.general import general_contributions, general_graph, general_rank
 from peerrank.operators import links, report, suffix
+from peerrank.operators import general_hot
 from peerrank.operators.general_hot import cost_model, split_groups
 from peerrank.operators.joins import join_small, memory_bytes
 from peerrank.operators.links import block_cells, block_pairs, general_links, product_link_pairs
@@ -180,6 +181,35 @@ def test_every_heavy_plan_gives_the_same_ranks(small, plan):
     assert qmap(general_rank(small, 20, 2, heavy_users=3, heavy_plan=plan)) == plain
 
 
+@pytest.mark.parametrize("small_set", [0, 2])
+def test_large_sets_of_groups(small, monkeypatch, small_set):
+    # sets above SMALL_SET are compared through a join
+    monkeypatch.setattr(general_hot, "SMALL_SET", small_set)
+    hot = general_graph(small, heavy_users=3, heavy_plan="signatures")
+    plain = general_graph(small, heavy_users=None)
+    assert hot.heavy.large and qmap(hot.nodes, "deg") == qmap(plain.nodes, "deg")
+    assert qmap(general_rank(small, 20, 2, graph=hot)) == qmap(general_rank(small, 20, 2, graph=plain))
+
+
+def test_heavy_users_with_equal_means_and_sets(spark):
+    # 40 users with the same groups and three values: their points have several users
+    rows = [(p, str(u), 5, u % 3 * 10**8) for p in ("a", "b") for u in range(40)]
+    rows += [("c", str(u), 5, u % 3 * 10**8) for u in range(30, 36)]
+    r = cut_lineage(spark.createDataFrame(rows, "product_id string, user_id string, rating int, hq long"))
+    hot, plain = general_graph(r, heavy_users=7, heavy_plan="signatures"), general_graph(r, heavy_users=None)
+    assert hot.heavy.many is not None and hot.links.count() == 0   # pairs of c are linked through a and b
+    assert qmap(hot.nodes, "deg") == qmap(plain.nodes, "deg")
+    assert qmap(general_rank(r, 20, 3, graph=hot)) == qmap(general_rank(r, 20, 3, graph=plain))
+
+
+def test_shuffles_of_the_heavy_path(small):
+    hot = general_graph(small, heavy_users=3, heavy_plan="signatures")
+    state = hot.nodes.select("user_id", F.col("hq").alias("rq"), "deg")
+    plan = general_contributions(hot, state, 20)._jdf.queryExecution().executedPlan().toString()
+    # the users' values by level, the sums of the levels, and the rows of links and lookups in one
+    assert plan.count("Exchange hashpartitioning") <= 5, plan
+
+
 # --- range layout ---------------------------------------------------------------
 
 
