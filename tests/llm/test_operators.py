@@ -536,6 +536,26 @@ def test_near_lines_of_all_lengths_are_found(docs_of):
     assert not [x for x in lost if x[0] < 86 or x[1] != "all"] and len(lost) <= 0.02 * len(near), lost
 
 
+def test_lines_that_no_line_of_their_key_is_near_to_are_dropped_early(docs_of, spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    phrase = "the very same phrase in all of these lines"
+    # the phrase stands at places, or in lines of lengths, that no near pair allows
+    far = [line(a) + " " + phrase + " " + line(b) for a, b in ((0, 60), (60, 0), (2, 200), (150, 150), (1, 2), (6, 4))]
+    alike = line(50)
+    texts = [*far, alike, alike.replace(" ", " z", 1), "x" * 80, "x" * 78]
+    norms = spark.createDataFrame([(i, len(t), t) for i, t in enumerate(texts)], "node long, size int, norm string")
+    kept = fuzzylines._crowded(norms, 0.9).collect()
+    assert {r.node for r in kept} == {6, 7, 8, 9}
+    # a line that has an n-gram often has one row of it, without a place
+    assert all(r.at is None for r in kept if r.node > 7) and len({(r.key, r.node) for r in kept}) == len(kept)
+    keys = {i: c for i, c in fuzzylines.gram_keys(norms, 0.9).groupBy("node").count().collect()}
+    assert all(20 <= keys[i] <= 70 for i in (0, 1, 2, 3, 6, 7))
+    got = {r.doc_id: r.n_near for r in fuzzylines.line_report(docs_of([(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert {i for i in got if got[i]} == {7, 9}
+
+
 def test_lines_that_differ_in_a_number_only(docs_of):
     table = "\n".join(["Total: 100", "a = 1", "7", "7", "12, 13"])
     other = "\n".join(["Total: 2,750", "a = 2", "7", "TOTAL 100!", "12, 13"])
