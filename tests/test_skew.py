@@ -2,22 +2,23 @@
 positions) agree with the plain plans and with brute force."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import bruteforce as BF
-from peerrank.operators.general import general_contributions, general_graph, general_rank
+from peerrank.operators.general import general_contributions, general_graph, general_rank, general_step, link_grid
 from peerrank.operators import links, report, suffix
-from peerrank.operators import general_hot
+from peerrank.operators import general, general_hot
 from peerrank.operators.general_hot import cost_model, split_groups
 from peerrank.operators.joins import join_small, memory_bytes
 from peerrank.operators.links import block_cells, block_pairs, general_links, product_link_pairs
 from peerrank.operators.positions import positions
 from peerrank.operators.product import product_rank, product_rows
 from peerrank.operators.suffix import range_layout, strict_above
-from peerrank.session import cut_lineage
+from peerrank.session import cut_lineage, cut_lineage_keyed, layout_of_some_keys, setting
 from peerrank.sources.reviews import load_reviews, reviews_from_tables
 from samples import SF_SMALL
 from test_edges import random_reviews, write_csv
@@ -308,3 +309,41 @@ def test_shares_beyond_the_clamp(spark, tmp_out):
         for hot in (None, 2):
             got = {u: v / 1e9 for u, v in qmap(product_rank(r, 1, iters, hot_rows=hot)).items()}
             assert max(abs(got[u] - want[u]) for u in want) < 1e-6
+
+
+@pytest.mark.parametrize("more", [{}, {"heavy_users": 3, "heavy_plan": "signatures"}, {"hot_source_links": 40}])
+def test_links_in_a_grid_give_the_same_ranks(small, monkeypatch, more):
+    more = {"heavy_users": None} | more
+    monkeypatch.setattr(general, "link_grid", lambda *_: (6, 5))
+    plain = general_graph(small, heavy_users=None)
+    grid = general_graph(small, 32, cells=True, **more)
+    assert plain.grid is None and grid.grid is not None and "cell" in grid.links.columns
+    assert qmap(plain.nodes, "deg") == qmap(grid.nodes, "deg")
+    assert qmap(general_rank(small, 20, 3, graph=plain)) == qmap(general_rank(small, 20, 3, partitions=32, graph=grid))
+
+
+def test_links_in_a_grid_stay_where_they_lie(spark, small):
+    g = general_graph(small, 32, heavy_users=None, cells=True)
+    state = g.nodes.select("user_id", F.col("hq").alias("rq"), "deg")
+    with layout_of_some_keys(spark), setting(spark, "spark.sql.shuffle.partitions", "32"):
+        plan = general_step(g, state, 20)._jdf.queryExecution().executedPlan().toString()
+    # shares by cell and sums by receiver are shuffled, links are not
+    assert plan.count("Exchange hashpartitioning(") == 2 and "Exchange hashpartitioning(cell" in plan
+    rows, columns = link_grid(10**9, 10**7, 200)
+    assert rows * columns <= 200 and rows > 1 and columns > 1
+    assert link_grid(10**7, 10**7, 200) is None and link_grid(0, 0, 200) is None   # a link a user: by source
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split()
+        return {b for b in blocks if b.startswith("shuffle_")}
+
+    rows, before = spark.range(1000).selectExpr("id % 7 AS k", "id"), files()
+    cut_lineage(rows.groupBy("k").count())
+    cut_lineage_keyed(rows, ["k"], 4)
+    for _ in range(50):   # deleted in the background
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
